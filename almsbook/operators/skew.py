@@ -1,0 +1,62 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key holding less than this share of the rows is left to the ordinary shuffle.
+HOT_SHARE = 0.01
+
+
+def frequent_values(df: DataFrame, column: str, share: float = HOT_SHARE) -> list:
+    """Every non-null value holding at least ``share`` of the rows, perhaps with some that do not.
+
+    One pass over one column; the sketch keeps at most 1/share values, which also bounds the list.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).stat.freqItems([column], share)
+    return list(found.first()[0] or [])
+
+
+def _padded(df: DataFrame, like: DataFrame, key: str) -> DataFrame:
+    """``df`` with the non-key columns of ``like`` as NULLs: what an outer join gives unmatched rows."""
+    return df.select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema if f.name != key]
+    )
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str, share: float = HOT_SHARE) -> DataFrame:
+    """Equi-join of a possibly skewed ``left`` with a ``right`` holding one row per key at most.
+
+    Rows of frequent keys never shuffle: there are at most 1/share such keys, hence as many rows on
+    the right, and those are broadcast. All other rows take a shuffle join. Rows with a NULL key
+    match nothing, so they skip the join. The three parts are disjoint and cover ``left``; a value
+    wrongly taken for frequent only changes which join it goes through.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
+    hot = frequent_values(left, key, share)
+    column = F.col(key)
+    is_hot = column.isin(hot)
+    parts = [left.where(column.isNotNull() & ~is_hot).join(right, key, how)]
+    if hot:
+        parts.append(left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, how))
+    if how == "left":
+        parts.append(_padded(left.where(column.isNull()), right, key))
+    if how == "left_anti":
+        parts.append(left.where(column.isNull()))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def has_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Per key of ``left``: how many rows it has there and whether ``right`` knows it.
+
+    Both sides go into one grouped aggregate of the key alone, so a frequent key on either side is
+    reduced to one row per task before anything is shuffled. NULL keys never match.
+    """
+    sides = left.select(F.col(left_key).alias("key"), F.lit(1).alias("n"), F.lit(False).alias("known")).unionByName(
+        right.select(F.col(right_key).alias("key"), F.lit(0).alias("n"), F.lit(True).alias("known"))
+    )
+    matched: Column = F.col("key").isNotNull() & F.max("known")
+    return sides.groupBy("key").agg(F.sum("n").alias("n"), matched.alias("matched")).where("n > 0")
