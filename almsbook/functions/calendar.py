@@ -27,7 +27,8 @@ def date_key(day: Column) -> Column:
 
 def key_date(key: Column) -> Column:
     """The date behind a YYYYMMDD integer."""
-    return F.make_date(F.floor(key / 10000), F.floor(key / 100) % 100, key % 100)
+    year, month = (key / 10000).cast("int"), (key / 100).cast("int") % 100
+    return F.make_date(year, month, key % 100)
 
 
 def fiscal_month_label(month: Column) -> Column:

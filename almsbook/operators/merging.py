@@ -50,11 +50,11 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update: list[str]) ->
         )
     )
     twice = F.raise_error(F.concat(F.lit("several rows to merge for key "), F.col(key).cast("string")))
-    known = F.when(F.col("_times") > 1, twice.cast("boolean")).otherwise(F.col("_old").isNotNull())
+    # As a filter the check survives whatever columns the caller goes on to select.
+    checked = both.where(F.when(F.col("_times") > 1, twice.cast("boolean")).otherwise(True))
 
     def merged(name: str) -> Column:
-        keep_old = ~F.col("_arrived") if name in update else F.col("_known")
+        keep_old = F.col("_new").isNull() if name in update else F.col("_old").isNotNull()
         return F.when(keep_old, F.col(f"_old.{name}")).otherwise(F.col(f"_new.{name}")).alias(name)
 
-    flagged = both.withColumns({"_known": known, "_arrived": F.col("_new").isNotNull()})
-    return flagged.select(key, *[merged(c) for c in payload]).select(target.columns)
+    return checked.select(key, *[merged(c) for c in payload]).select(target.columns)

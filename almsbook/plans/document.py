@@ -1,9 +1,11 @@
-"""The metrics document: one small JSON dataset per section, and its long form."""
+"""The metrics document: small sections of JSON lines, and their long form."""
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from almsbook.functions.money import whole
 from almsbook.plans import donors, overview, quality, reconciliation
@@ -73,13 +75,24 @@ ENTRY_KEYS = {
 
 
 def write_document(parts: dict[str, DataFrame], path: str) -> None:
-    """One folder of JSON lines per section; each section is a report of a few rows."""
-    for name, part in parts.items():
-        part.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/{name}")
+    """One folder of JSON lines per section.
+
+    All sections go into one job, so they run side by side and share the exchanges they have in common.
+    """
+    lines = [
+        part.select(
+            F.lit(name).alias("section"),
+            F.to_json(F.struct(*part.columns), {"ignoreNullFields": "false"}).alias("value"),
+        )
+        for name, part in parts.items()
+    ]
+    # Sections are reports of a few rows; the repartition gathers each into one file.
+    reduce(DataFrame.unionByName, lines).repartition("section").write.mode("overwrite").partitionBy("section").text(path)
 
 
 def read_section(spark: SparkSession, path: str, name: str, like: DataFrame) -> DataFrame:
-    return spark.read.json(f"{path}/{name}", schema=like.schema)
+    lines = spark.read.schema("value string, section string").text(path).where(F.col("section") == name)
+    return lines.select(F.from_json("value", like.schema).alias("row")).select("row.*")
 
 
 def long_form(name: str, part: DataFrame) -> DataFrame:
@@ -88,7 +101,7 @@ def long_form(name: str, part: DataFrame) -> DataFrame:
     entry = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]) if keys else F.lit("")
     numeric = {"int", "bigint", "double"}
 
-    def measure(field) -> F.Column:
+    def measure(field: StructField) -> Column:
         kind = field.dataType.simpleString()
         is_number = kind in numeric or kind.startswith("decimal")
         value = F.col(field.name)
@@ -105,7 +118,4 @@ def long_form(name: str, part: DataFrame) -> DataFrame:
 def read_document(spark: SparkSession, path: str, parts: dict[str, DataFrame]) -> DataFrame:
     """All sections read back from their files in long form."""
     rows = [long_form(name, read_section(spark, path, name, part)) for name, part in parts.items()]
-    result = rows[0]
-    for part in rows[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, rows)

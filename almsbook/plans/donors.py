@@ -75,7 +75,10 @@ def register_segment_function(gifts: DataFrame, name: str = "donor_segments_of")
     """)
 
 
-def segmented(spark: SparkSession, current_fy: int, name: str = "donor_segments_of") -> DataFrame:
+def segmented(spark: SparkSession, current_fy: int | DataFrame, name: str = "donor_segments_of") -> DataFrame:
+    """Call the table function; the year may also be a one-row, one-column frame."""
+    if isinstance(current_fy, DataFrame):
+        return spark.sql(f"SELECT * FROM {name}((SELECT * FROM {{year}}))", year=current_fy)
     return spark.sql(f"SELECT * FROM {name}({int(current_fy)})")
 
 

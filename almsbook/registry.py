@@ -248,8 +248,8 @@ def donor_segments(t):
 def donor_segments_tvf(t):
     gifts = _gifts(t)
     donors.register_segment_function(gifts)
-    newest = gifts.agg(F.max("gift_date").alias("day")).select(donors.fiscal_year(F.col("day")).alias("fy"))
-    return donors.segmented(t.spark, newest.first()["fy"])
+    newest = gifts.agg(F.max(donors.fiscal_year(F.col("gift_date"))).alias("fiscal_year"))
+    return donors.segmented(t.spark, newest)
 
 
 @query
@@ -465,11 +465,13 @@ def crm_campaigns(t):
 
 @query
 def metrics_document(t):
-    gifts = _gifts(t)
+    # Most sections read the gifts, so those are written once, as loading the mart would.
+    gifts, ledger = materialize(_gifts(t), "gifts"), _ledger(t)
     books = document.Books(
-        contacts=t.contacts, raw_gifts=t.raw_gifts, gifts=gifts, pledges=t.raw_pledges, ledger=_ledger(t),
+        contacts=t.contacts, raw_gifts=t.raw_gifts, gifts=gifts, pledges=t.raw_pledges, ledger=ledger,
         funds=t.funds, campaigns=t.campaigns,
-        recon=materialize(fund_reconciliation(t), "recon"), scores=materialize(_scores(t), "scores"),
+        recon=materialize(reconciliation.fund_reconciliation(gifts, ledger, t.accounts), "recon"),
+        scores=materialize(donors.rfm_scores(donors.donor_summary(gifts)), "scores"),
     )
     parts = document.sections(books)
     path = scratch_path(t.spark, "metrics")

@@ -18,16 +18,20 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+def local_session(
+    cpus: int | str = "*", memory: str = "8g", partitions: int = 8, shared_dir: str | None = None
+) -> SparkSession:
     """A session for tests and the bench; on a cluster the caller brings its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("almsbook")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if shared_dir:
+        builder = builder.config("spark.checkpoint.dir", shared_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tuned(spark)

@@ -1,0 +1,446 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from almsbook.operators.reconcile import NEEDS_REVIEW, RECONCILED
+from almsbook.plans import calendar, donors, journal, mart, overview, prep, quality, reconciliation, staging, statement
+from helpers import accounts, day, dec, funds, gifts, ledger, rows
+
+
+@pytest.fixture(scope="module")
+def giving(spark):
+    """FY2024 to FY2026 with a gap year for d3 and a late start for d4."""
+    return gifts(
+        spark,
+        ("g1", "d1", "A", "2023-08-01", "100.00"),
+        ("g2", "d1", "A", "2024-08-01", "200.00"),
+        ("g3", "d1", "B", "2025-08-01", "300.00"),
+        ("g4", "d2", "B", "2024-07-01", "50.00"),
+        ("g5", "d2", "A", "2025-06-30", "70.00"),
+        ("g6", "d3", "A", "2023-07-01", "10.00"),
+        ("g7", "d4", "B", "2026-01-15", "20.55"),
+        ("g8", "d4", "B", "2026-01-16", "0.45"),
+    )
+
+
+# Staging
+
+
+def test_dedupe_keeps_the_smallest_id(spark):
+    contacts = spark.createDataFrame(
+        [
+            ("d2", "  ANN   LEE ", "Individual", " A@X.ORG ", None, "WA"),
+            ("d1", "ann lee", "Individual", "a@x.org", None, "OR"),
+            ("d3", "Bo Ray", "Organization", None, None, None),
+            ("d5", None, None, None, None, None),
+            ("d4", None, None, None, None, None),
+        ],
+        "donor_id string, donor_name string, donor_type string, email string, first_gift_date date, state string",
+    )
+    kept = rows(staging.stg_donors(contacts).select("donor_id", "donor_name", "email", "state"))
+    assert kept == [("d1", "Ann Lee", "a@x.org", "OR"), ("d3", "Bo Ray", None, None), ("d4", None, None, None)]
+    assert rows(staging.donor_survivor_map(contacts)) == [
+        ("d1", "d1"), ("d2", "d1"), ("d3", "d3"), ("d4", "d4"), ("d5", "d4"),
+    ]
+
+
+def test_orphans_and_valid_gifts_cover_the_input(spark):
+    given = gifts(
+        spark, ("g1", "d", "A", "2024-01-01", "1"), ("g2", "d", "Z", "2024-01-01", "1"), ("g3", "d", None, "2024-01-01", "1")
+    )
+    known = funds(spark, "A", "B")
+    assert [r[0] for r in rows(staging.stg_gifts(given, known))] == ["g1"]
+    assert [r[0] for r in rows(staging.gifts_orphaned(given, known))] == ["g2", "g3"]
+
+
+def test_orphans_with_a_null_in_the_dimension(spark):
+    given = gifts(spark, ("g1", "d", "A", "2024-01-01", "1"), ("g2", "d", None, "2024-01-01", "1"))
+    assert [r[0] for r in rows(staging.gifts_orphaned(given, funds(spark, "B", None)))] == ["g1", "g2"]
+
+
+def test_pledges(spark):
+    pledges = spark.createDataFrame(
+        [("p1", dec("10"), dec("10")), ("p2", dec("10"), dec("9.99")), ("p3", dec("10"), dec("10.01")), ("p4", dec("10"), None)],
+        "pledge_id string, pledged_amount decimal(18,2), paid_amount decimal(18,2)",
+    )
+    staged = staging.stg_pledges(staging.pledge_status(pledges))
+    assert rows(staged.select("pledge_id", "status", "has_overpayment_flag")) == [
+        ("p1", "Paid in Full", False), ("p2", "Active", False), ("p3", "Paid in Full", True), ("p4", "Active", None),
+    ]
+    assert [r[0] for r in rows(staging.pledges_overpaid(pledges))] == ["p3"]
+
+
+# Mart
+
+
+def test_loading_the_same_batch_twice_changes_nothing(spark, giving):
+    batch = mart.fact_gifts(giving)
+    once = mart.load("fact_gifts", batch)
+    assert rows(mart.load("fact_gifts", batch, once)) == rows(once) == rows(batch)
+
+
+def test_loaded_donors_take_over_the_new_name(spark):
+    schema = "donor_id string, donor_name string, donor_type string, first_gift_date date, state string"
+    loaded = spark.createDataFrame([("d1", "Old", "Individual", None, "WA")], schema)
+    batch = spark.createDataFrame([("d1", "New", "Other", None, "OR"), ("d2", "Two", "Other", None, None)], schema)
+    assert rows(mart.load("dim_donor", batch, loaded)) == [
+        ("d1", "New", "Individual", None, "WA"), ("d2", "Two", "Other", None, None),
+    ]
+
+
+def test_dimension_join_equals_the_expression_form(spark, giving):
+    dates = calendar.dim_date(calendar.date_spine(calendar.fiscal_window(giving, "gift_date")))
+    joined = mart.gifts_by_fiscal_month_dimjoin(mart.fact_gifts(giving), dates).select("fiscal_year", "fiscal_month", "amount")
+    direct = reconciliation.gift_side(giving).groupBy("fiscal_year", "fiscal_month").agg(
+        F.sum("amount").cast("decimal(18,2)").alias("amount")
+    )
+    assert rows(joined) == rows(direct)
+
+
+# Reconciliation
+
+
+def test_reconciliation_counts_income_credits_only(spark):
+    given = gifts(spark, ("g1", "d", "A", "2024-07-31", "600.00"), ("g2", "d", "A", "2024-08-01", "900.00"))
+    books = ledger(
+        spark,
+        ("t1", 1, "2024-07-31", "1000", "A", "600.00", None, "g1"),
+        ("t1", 2, "2024-07-31", "4000", "A", None, "600.00", "g1"),
+        ("t2", 2, "2024-08-02", "5000", "A", None, "900.00", "g2"),
+        ("t3", 2, "2024-08-02", "4000", None, None, "700.00", None),
+    )
+    got = rows(reconciliation.fund_reconciliation(given, books, accounts(spark)))
+    assert got == [
+        (None, 2025, 2, dec("0.00"), dec("700.00"), dec("-700.00"), None, NEEDS_REVIEW),
+        ("A", 2025, 1, dec("600.00"), dec("600.00"), dec("0.00"), 0.0, RECONCILED),
+        ("A", 2025, 2, dec("900.00"), dec("0.00"), dec("900.00"), 100.0, NEEDS_REVIEW),
+    ]
+
+
+def _recon(spark, *items):
+    data = [(f, fy, fm, dec(g), dec(p), dec(g) - dec(p), None, status) for f, fy, fm, g, p, status in items]
+    return spark.createDataFrame(
+        data,
+        "fund_id string, fiscal_year int, fiscal_month int, gifts_recorded decimal(18,2), gl_posted decimal(18,2), "
+        "variance_amount decimal(18,2), variance_pct double, status string",
+    )
+
+
+def test_flagged_rows_take_the_largest_and_keep_unknown_funds(spark):
+    recon = _recon(
+        spark,
+        ("A", 2025, 1, "900", "0", NEEDS_REVIEW),
+        ("A", 2025, 2, "0", "900", NEEDS_REVIEW),
+        ("Z", 2025, 3, "0", "1000", NEEDS_REVIEW),
+        (None, 2025, 3, "0", "900", NEEDS_REVIEW),
+        ("B", 2025, 3, "5000", "4900", RECONCILED),
+    )
+    known = funds(spark, "A", "B")
+    top = rows(reconciliation.flagged_variances(recon, known, 3).select("fund_id", "fund_name", "fiscal_month", "variance"))
+    assert top == [
+        ("A", "Fund A", 1, dec("900.00")), ("A", "Fund A", 2, dec("-900.00")), ("Z", None, 3, dec("-1000.00")),
+    ]
+    assert reconciliation.flagged_variances(recon, known, None).count() == 4
+    assert rows(reconciliation.variance_by_fund(recon, known)) == [("Fund A", dec("0.00")), ("Fund B", dec("100.00"))]
+    totals = reconciliation.recon_totals(recon).first()
+    assert tuple(totals) == (dec("5900.00"), dec("7700.00"), dec("-1800.00"), 4)
+
+
+def test_unposted_gifts(spark):
+    given = gifts(
+        spark,
+        ("g1", "d", "A", "2024-03-10", "1"), ("g2", "d", "A", "2024-03-16", "1"),
+        ("g3", "d", "A", "2024-03-17", "1"), (None, "d", "A", "2024-03-12", "1"),
+    )
+    books = ledger(spark, ("t1", 1, "2024-03-10", "1000", "A", "1", None, "g1"), ("t1", 2, "2024-03-10", "4000", "A", None, "1", "g1"),
+                   ("t9", 1, "2024-03-10", "1000", "A", "1", None, None))
+    assert [r[0] for r in rows(reconciliation.gifts_without_gl(given, books))] == [None, "g2", "g3"]
+    window = reconciliation.missing_batch_window(given, books, date(2024, 3, 10), date(2024, 3, 16))
+    assert [r[0] for r in rows(window)] == [None, "g2"]
+
+
+def test_balance_needs_more_than_a_cent(spark):
+    books = ledger(
+        spark,
+        ("t1", 1, "2024-01-01", "1000", "A", "10.00", None, "g"), ("t1", 2, "2024-01-01", "4000", "A", None, "10.01", "g"),
+        ("t2", 1, "2024-01-01", "1000", "A", "10.00", None, "g"), ("t2", 2, "2024-01-01", "4000", "A", None, "10.02", "g"),
+        ("t3", 1, "2024-01-01", "1000", "A", "0.03", None, "g"),
+    )
+    assert rows(reconciliation.gl_unbalanced(books)) == [("t2", dec("-0.02")), ("t3", dec("0.03"))]
+
+
+# Donors
+
+
+def test_segments(spark, giving):
+    now = {r["donor_id"]: r["segment"] for r in donors.donor_segments(giving).collect()}
+    assert now == {"d1": "Active", "d2": "Lapsing", "d3": "Lapsed", "d4": "New"}
+    # Seen from FY2024, d2 and d4 have not given yet and d1 and d3 are new.
+    before = {r["donor_id"]: r["segment"] for r in donors.donor_segments(giving, 2024).collect()}
+    assert before == {"d1": "New", "d2": "Lapsed", "d3": "New", "d4": "Lapsed"}
+
+
+def test_table_function_agrees_for_every_year(spark, giving):
+    donors.register_segment_function(giving, "segments_under_test")
+    for year in (2023, 2024, 2025, 2026, 2027):
+        expected = rows(donors.donor_segments(giving, year))
+        assert rows(donors.segmented(spark, year, "segments_under_test")) == expected
+    newest = spark.createDataFrame([(2026,)], "fy int")
+    assert rows(donors.segmented(spark, newest, "segments_under_test")) == rows(donors.donor_segments(giving))
+
+
+def test_summary_counts_years_not_gifts(spark, giving):
+    got = {r[0]: tuple(r)[1:] for r in donors.donor_summary(giving).collect()}
+    assert got["d1"] == (2026, 2024, 3, dec("600.00"))
+    assert got["d4"] == (2026, 2026, 1, dec("21.00"))
+
+
+def test_roll_ups_of_segments(spark, giving):
+    segments = donors.donor_segments(giving)
+    assert rows(donors.segment_counts(segments)) == [("Active", 1), ("Lapsed", 1), ("Lapsing", 1), ("New", 1)]
+    assert donors.revenue_at_risk(segments).first()[0] == dec("120.00")
+    assert donors.revenue_at_risk(segments.where("false")).first()[0] == dec("0.00")
+
+
+def test_retention_uses_the_previous_year_with_gifts(spark, giving):
+    assert rows(donors.retention_by_fy(giving)) == [(2025, 50.0), (2026, 50.0)]
+    without_2025 = giving.where("gift_date not between date'2024-07-01' and date'2025-06-30'")
+    assert rows(donors.retention_by_fy(without_2025)) == [(2026, 50.0)]
+    assert donors.retention_by_fy(giving.where("gift_id = 'g1'")).count() == 0
+
+
+def test_retention_without_returning_donors(spark):
+    given = gifts(spark, ("g1", "d1", "A", "2023-08-01", "1"), ("g2", "d2", "A", "2024-08-01", "1"))
+    assert rows(donors.retention_by_fy(given)) == [(2025, 0.0)]
+
+
+def test_matrix_adds_up_to_gifts_of_known_funds(spark, giving):
+    known = funds(spark, "A", "B", "C")
+    got = rows(donors.fund_segment_matrix(giving, known).select("fund_name", *donors.SEGMENTS))
+    assert got == [
+        ("Fund A", dec("300.00"), dec("10.00"), dec("70.00"), dec("0.00")),
+        ("Fund B", dec("300.00"), dec("0.00"), dec("50.00"), dec("21.00")),
+    ]
+    # The donor's segment spans all funds even where only some are known.
+    only_b = rows(donors.fund_segment_matrix(giving, funds(spark, "B")).select("fund_name", *donors.SEGMENTS))
+    assert only_b == got[1:]
+
+
+def test_scores_and_top_donors(spark):
+    given = gifts(spark, *[
+        (f"g{d:02d}-{y}", f"d{d:02d}", "A", f"20{y}-09-01", str(d + 1))
+        for d in range(20) for y in range(20, 20 + 1 + d % 5)
+    ])
+    scores = donors.rfm_scores(donors.donor_summary(given))
+    got = {r["donor_id"]: r for r in scores.collect()}
+    assert len(got) == 20
+    by_frequency = sorted(got.values(), key=lambda r: (r["frequency"], r["donor_id"]))
+    assert [r["freq_rank"] for r in by_frequency] == [i // 4 for i in range(20)]
+    by_money = sorted(got.values(), key=lambda r: (r["lifetime"], r["donor_id"]))
+    assert [r["monetary_rank"] for r in by_money] == [i // 4 for i in range(20)]
+    assert got["d19"]["rfm_score"] == round((got["d19"]["recency_rank"] + 8) / 3, 2)
+
+    names = spark.createDataFrame([(f"d{d:02d}", f"Donor {d}") for d in range(19)], "donor_id string, donor_name string")
+    best = donors.top_donors(scores, names, 2025, top_n=3).collect()
+    expected = sorted(got.values(), key=lambda r: (-r["rfm_score"], -r["lifetime"], r["donor_id"]))[:3]
+    assert {r["donor_id"] for r in best} == {r["donor_id"] for r in expected}
+    assert {r["donor_id"]: r["donor_name"] for r in best}["d19"] is None
+
+
+def test_one_donor_scores_zero(spark):
+    scores = donors.rfm_scores(donors.donor_summary(gifts(spark, ("g", "d", "A", "2024-01-01", "5")))).first()
+    assert (scores["recency_rank"], scores["freq_rank"], scores["monetary_rank"], scores["rfm_score"]) == (0, 0, 0, 0.0)
+
+
+# Headline figures
+
+
+@pytest.fixture(scope="module")
+def campaigns(spark):
+    return spark.createDataFrame([("c1", dec("400.00")), ("c2", dec("241.10"))], "campaign_id string, goal_amount decimal(18,2)")
+
+
+def test_kpis(spark, giving, campaigns):
+    got = overview.executive_kpis(giving, campaigns).first().asDict()
+    assert got == {
+        "current_fy": 2026, "prior_fy": 2025, "ytd_total": dec("321.00"), "prior_total": dec("320.00"),
+        "yoy_growth": 0.3, "donor_count": 2, "avg_gift": dec("107.00"), "total_goal": dec("641.00"),
+        "goal_attainment_pct": 50.1,
+    }
+
+
+def test_kpis_without_a_prior_year_or_goal(spark, giving, campaigns):
+    first_year = giving.where("gift_date < date'2024-07-01'")
+    got = overview.executive_kpis(first_year, campaigns.where("false")).first()
+    assert (got["prior_total"], got["yoy_growth"], got["goal_attainment_pct"]) == (dec("0.00"), None, None)
+
+
+def test_trend_is_dense(spark, giving):
+    got = overview.monthly_trend(giving)
+    assert got.count() == 24
+    filled = rows(got.where("amount > 0"))
+    assert filled == [
+        ("Current FY", 2, dec("300.00")), ("Current FY", 7, dec("21.00")),
+        ("Prior FY", 1, dec("50.00")), ("Prior FY", 2, dec("200.00")), ("Prior FY", 12, dec("70.00")),
+    ]
+
+
+def test_top_funds_and_mix(spark, giving):
+    assert rows(overview.top_funds(giving, funds(spark, "A", "B"), 1)) == [("Fund A", dec("380.00"))]
+    mixed = giving.withColumn("gift_type", F.when(F.col("gift_id") == "g8", None).otherwise(F.col("gift_type")))
+    assert rows(overview.gift_type_mix(mixed)) == [("Cash", dec("751.00"))]
+
+
+# Data quality
+
+
+@pytest.fixture(scope="module")
+def graded(spark):
+    given = gifts(
+        spark,
+        ("g1", "d", "A", "2024-07-01", "10.00"), ("g2", "d", "A", "2024-07-01", "-1.00"),
+        ("g3", "d", "Z", "2024-07-01", "5.00"), ("g4", "d", "A", "2024-07-01", None),
+    )
+    books = ledger(
+        spark,
+        ("t1", 1, "2024-07-01", "1000", "A", "10.00", None, "g1"), ("t1", 2, "2024-07-01", "4000", "A", None, "10.00", "g1"),
+        ("t2", 1, "2024-07-01", "1000", "A", "10.00", None, "g2"), ("t2", 2, "2024-07-01", "4000", "A", None, "11.00", "g2"),
+    )
+    pledges = spark.createDataFrame(
+        [("p1", dec("10"), dec("11")), ("p2", dec("10"), dec("9"))],
+        "pledge_id string, pledged_amount decimal(18,2), paid_amount decimal(18,2)",
+    )
+    known = funds(spark, "A")
+    return given, staging.stg_gifts(given, known), pledges, books, known
+
+
+def test_six_checks(spark, graded):
+    given, valid, pledges, books, known = graded
+    recon = reconciliation.fund_reconciliation(valid, books, accounts(spark))
+    results = quality.dq_results(given, valid, pledges, books, known, recon)
+    assert [tuple(r) for r in results.orderBy("check_no").select("check_no", "severity", "row_count_affected", "passed").collect()] == [
+        (1, "critical", 1, False), (2, "critical", 1, False), (3, "warning", 1, False),
+        (4, "critical", 2, False), (5, "critical", 1, False), (6, "warning", 0, True),
+    ]
+    assert tuple(quality.dq_pass_rate(results).first()) == (17.0, 6, 1)
+    assert rows(quality.dq_severity_failures(results)) == [("critical", 4), ("warning", 1)]
+
+
+def test_checks_on_empty_tables_are_ungraded(spark, graded):
+    given, valid, pledges, books, known = (df.where("false") for df in graded)
+    recon = reconciliation.fund_reconciliation(valid, books, accounts(spark))
+    results = quality.dq_results(given, valid, pledges, books, known, recon)
+    got = {r["check_no"]: (r["row_count_affected"], r["passed"]) for r in results.collect()}
+    assert got == {1: (0, None), 2: (0, None), 3: (0, None), 4: (0, True), 5: (0, None), 6: (0, None)}
+    assert tuple(quality.dq_pass_rate(results).first()) == (17.0, 6, 1)
+
+
+def test_expectations(spark, graded):
+    given, _, pledges, books, known = graded
+    doubled = given.unionByName(given.where("gift_id = 'g1'"))
+    got = quality.expectations(
+        doubled, known, books, pledges, orphans_expected=1, max_unbalanced=0, overpaid_below=2,
+        first_day=date(2024, 7, 2), last_day=date(2025, 6, 30),
+    )
+    assert {r["name"]: (r["observed"], r["passed"]) for r in got.collect()} == {
+        "gift amounts are positive": (2, False),
+        "donor ids are not null": (0, True),
+        "gift dates lie in the window": (5, False),
+        "gift ids are unique": (1, False),
+        "fund ids are unique": (0, True),
+        "orphaned gifts equal the expected number": (1, True),
+        "unbalanced transactions stay within the limit": (1, False),
+        "overpaid pledges occur and stay below the limit": (1, True),
+    }
+
+
+# Statements
+
+
+def test_statements(spark, giving):
+    recon = _recon(spark, ("A", 2025, 2, "900.50", "0", NEEDS_REVIEW), ("Z", 2024, 12, "0", "1234.50", NEEDS_REVIEW))
+    flagged = reconciliation.flagged_variances(recon, funds(spark, "A"))
+    periods = statement.statement_periods(flagged, giving)
+    assert [tuple(r) for r in periods.collect()] == [(2024, 12), (2025, 2)]
+    assert rows(statement.statement_header(periods, flagged)) == [
+        (2024, 12, "FRS-202412", "Jun FY2024", 1), (2025, 2, "FRS-202502", "Aug FY2025", 1),
+    ]
+    assert rows(statement.statement_rows(flagged)) == [
+        (2024, 12, None, "$0", "$1,235", "$-1,235", "-$1,235", NEEDS_REVIEW),
+        (2025, 2, "Fund A", "$901", "$0", "$901", "+$901", NEEDS_REVIEW),
+    ]
+
+
+def test_statement_without_flagged_rows(spark, giving):
+    flagged = reconciliation.flagged_variances(_recon(spark, ("A", 2025, 2, "1", "1", RECONCILED)), funds(spark, "A"))
+    header = statement.statement_header(statement.statement_periods(flagged, giving), flagged)
+    assert rows(header) == [(2026, 1, "FRS-202601", "Jul FY2026", 0)]
+
+
+# Journal
+
+
+def test_journal_balances_and_stays_in_the_books(spark):
+    given = gifts(spark, ("g1", "d", "A", "2024-06-29", "10.00"), ("g2", "d", "Z", "2024-06-01", "5.00"))
+    known = funds(spark, "A").withColumn("restriction_type", F.lit("Unrestricted"))
+    lines = journal.journal_lines(given, known, F.lit(3), F.lit("SUB-01"), date(2024, 6, 30))
+    got = rows(lines.select("transaction_id", "line_no", "transaction_date", "account_number", "debit_amount", "credit_amount"))
+    assert got == [
+        ("g1", 1, date(2024, 6, 30), "1000", dec("10.00"), dec("0.00")),
+        ("g1", 2, date(2024, 6, 30), "4000", dec("0.00"), dec("10.00")),
+        ("g2", 1, date(2024, 6, 4), "1000", dec("5.00"), dec("0.00")),
+        ("g2", 2, date(2024, 6, 4), "4100", dec("0.00"), dec("5.00")),
+    ]
+    assert reconciliation.gl_unbalanced(lines).count() == 0
+
+
+# Manual adjustments: a selection of records with the outcome the reports are known to show.
+
+ADJUSTMENTS = """\
+ADJ-0001,Christine Wilson DDS,FND-006,4690.71,Reclass
+ADJ-0002,  VALERIE NGUYEN  ,FND-008,-2198.69,Correction
+ADJ-0004,  STEVEN PHILLIPS  ,FND-004,,Pledge write-off
+ADJ-0013,  NICHOLAS HAMILTON  ,FND-OLD-12,772.55,Reclass
+ADJ-0017,Eric Mcclure,FND-006,-227.12,Pledge write-off
+ADJ-0026,Rickey Daniels,FND-OLD-12,,Reclass
+ADJ-0037,William Walker DVM,FND-OLD-12,4248.73,Correction
+ADJ-0044,  MR. DEREK MEADOWS DDS  ,FND-004,-3453.13,Refund
+ADJ-0048,Ashley Simmons,FND-OLD-12,,Reclass
+ADJ-0054,Katherine Herrera,FND-005,,Pledge write-off
+"""
+FUNDS = """\
+FND-004,Annual Giving Fund,Annual,Unrestricted
+FND-005,STEM Innovation Fund,Program,Restricted
+FND-006,Library Modernization Fund,Capital,Restricted
+FND-008,Faculty Research Grants,Program,Restricted
+"""
+
+
+def test_prep_against_known_results(spark, tmp_path):
+    from almsbook.plans.jobs import run_prep
+    from almsbook.schemas import ADJUSTMENTS as FIELDS, FUNDS as FUND_FIELDS
+
+    (tmp_path / "adjustments.csv").write_text(",".join(FIELDS.names) + "\n" + ADJUSTMENTS)
+    (tmp_path / "funds.csv").write_text(",".join(FUND_FIELDS.names) + "\n" + FUNDS)
+    out = tmp_path / "out"
+    breakdown = run_prep(spark, str(tmp_path / "adjustments.csv"), str(tmp_path / "funds.csv"), str(out))
+    assert rows(breakdown) == [(prep.UNKNOWN_FUND, 2), (prep.MISSING_AMOUNT, 4)][::-1]
+
+    valid = spark.read.csv(str(out / "clean_donor_adjustments"), header=True)
+    assert rows(valid.select("adjustment_id", "donor_name", "adjustment_amount", "fund_name")) == [
+        ("ADJ-0001", "Christine Wilson Dds", "4690.71", "Library Modernization Fund"),
+        ("ADJ-0002", "Valerie Nguyen", "-2198.69", "Faculty Research Grants"),
+        ("ADJ-0017", "Eric Mcclure", "-227.12", "Library Modernization Fund"),
+        ("ADJ-0044", "Mr. Derek Meadows Dds", "-3453.13", "Annual Giving Fund"),
+    ]
+    errors = spark.read.csv(str(out / "errors_log"), header=True)
+    assert rows(errors.select("adjustment_id", "donor_name", "fund_name", "error_reason")) == [
+        ("ADJ-0004", "Steven Phillips", "Annual Giving Fund", prep.MISSING_AMOUNT),
+        ("ADJ-0013", "Nicholas Hamilton", None, prep.UNKNOWN_FUND),
+        ("ADJ-0026", "Rickey Daniels", None, prep.MISSING_AMOUNT),
+        ("ADJ-0037", "William Walker Dvm", None, prep.UNKNOWN_FUND),
+        ("ADJ-0048", "Ashley Simmons", None, prep.MISSING_AMOUNT),
+        ("ADJ-0054", "Katherine Herrera", "STEM Innovation Fund", prep.MISSING_AMOUNT),
+    ]
