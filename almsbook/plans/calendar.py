@@ -8,11 +8,11 @@ from almsbook.functions.calendar import FISCAL_START_MONTH, date_key, fiscal_mon
 
 def fiscal_window(df: DataFrame, day: str) -> DataFrame:
     """One row (lo, hi): the whole fiscal years that the dates of ``df`` fall in."""
-    years = df.agg(F.min(fiscal_year(F.col(day))).alias("first"), F.max(fiscal_year(F.col(day))).alias("last"))
+    ends = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
     start = F.lit(FISCAL_START_MONTH)
-    return years.select(
-        F.make_date(F.col("first") - 1, start, F.lit(1)).alias("lo"),
-        F.date_sub(F.make_date("last", start, F.lit(1)), 1).alias("hi"),
+    return ends.select(
+        F.make_date(fiscal_year(F.col("first")) - 1, start, F.lit(1)).alias("lo"),
+        F.date_sub(F.make_date(fiscal_year(F.col("last")), start, F.lit(1)), 1).alias("hi"),
     )
 
 

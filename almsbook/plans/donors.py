@@ -11,9 +11,14 @@ from almsbook.operators.ranking import bin_of_value, equal_bins_of_rank, global_
 SEGMENTS = ["Active", "Lapsed", "Lapsing", "New"]
 
 
+def newest_fiscal_year(gifts: DataFrame) -> DataFrame:
+    """The fiscal year of the newest gift as a one-row frame."""
+    return gifts.agg(F.max("gift_date").alias("day")).select(fiscal_year(F.col("day")).alias("fiscal_year"))
+
+
 def latest_fiscal_year(gifts: DataFrame) -> Column:
     """The fiscal year of the newest gift, as a scalar subquery over the date column."""
-    return gifts.agg(F.max(fiscal_year(F.col("gift_date")))).scalar()
+    return newest_fiscal_year(gifts).scalar()
 
 
 def _year(gifts: DataFrame, current_fy: int | Column | None) -> Column:

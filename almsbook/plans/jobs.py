@@ -73,6 +73,31 @@ def books_of(spark: SparkSession, raw_dir: str, mart_dir: str) -> document.Books
     )
 
 
+def register_views(spark: SparkSession, raw_dir: str, mart_dir: str) -> list[str]:
+    """Offer the staging views, the mart and the reconciliation to SQL; returns the view names.
+
+    ``donor_segments_of(fiscal_year)`` comes along as a table function.
+    """
+
+    def raw(table: str) -> DataFrame:
+        return read_raw(spark, table, raw_dir)
+
+    views = {name: spark.read.parquet(f"{mart_dir}/{name}") for name in mart.KEYS}
+    gifts, ledger = mart.gifts_of(views["fact_gifts"]), mart.ledger_of(views["fact_gl"])
+    views |= {
+        "stg_donors": staging.stg_donors(raw("contacts")),
+        "stg_gifts": staging.stg_gifts(raw("gifts"), raw("funds")),
+        "stg_gifts_orphaned": staging.gifts_orphaned(raw("gifts"), raw("funds")),
+        "stg_pledges": staging.stg_pledges(raw("pledges")),
+        "stg_gl_transactions": staging.stg_ledger(raw("ledger")),
+        "fund_reconciliation": reconciliation.fund_reconciliation(gifts, ledger, views["dim_account"]),
+    }
+    for name, frame in views.items():
+        frame.createOrReplaceTempView(name)
+    donors.register_segment_function(gifts)
+    return list(views)
+
+
 def log_quality(books: document.Books, log_dir: str, run_id: str | None = None) -> str:
     """Grade the books and append the result to the log; returns the id of the run."""
     run = run_id or uuid4().hex

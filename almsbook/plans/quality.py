@@ -37,7 +37,7 @@ def gift_checks(raw_gifts: DataFrame, funds: DataFrame) -> DataFrame:
     per_fund = raw_gifts.groupBy("fund_id").agg(
         F.count("*").alias("n"), F.count_if(_bad_amount("gift_amount")).alias("bad")
     )
-    known = funds.select("fund_id", F.lit(True).alias("known"))
+    known = funds.select("fund_id").distinct().withColumn("known", F.lit(True))
     facts = per_fund.join(known, "fund_id", "left").agg(
         F.sum("n").alias("total"),
         F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("orphans"),

@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almsbook.functions.calendar import fiscal_month_label, fiscal_year
+from almsbook.functions.calendar import fiscal_month_label
 from almsbook.functions.money import dollars, signed_dollars
+from almsbook.plans.donors import newest_fiscal_year
 
 PERIOD = ["fiscal_year", "fiscal_month"]
 
@@ -12,8 +13,7 @@ PERIOD = ["fiscal_year", "fiscal_month"]
 def statement_periods(flagged: DataFrame, gifts: DataFrame) -> DataFrame:
     """Periods with a flagged fund; with none at all, the first month of the newest fiscal year."""
     periods = flagged.select(*PERIOD).distinct()
-    newest = gifts.agg(F.max(fiscal_year(F.col("gift_date"))).alias("fiscal_year"))
-    fallback = newest.select("fiscal_year", F.lit(1).alias("fiscal_month"))
+    fallback = newest_fiscal_year(gifts).select("fiscal_year", F.lit(1).alias("fiscal_month"))
     nothing_flagged = flagged.agg(F.count("*")).scalar() == 0
     return periods.unionByName(fallback.where(F.col("fiscal_year").isNotNull() & nothing_flagged)).orderBy(*PERIOD)
 

@@ -248,8 +248,7 @@ def donor_segments(t):
 def donor_segments_tvf(t):
     gifts = _gifts(t)
     donors.register_segment_function(gifts)
-    newest = gifts.agg(F.max(donors.fiscal_year(F.col("gift_date"))).alias("fiscal_year"))
-    return donors.segmented(t.spark, newest)
+    return donors.segmented(t.spark, donors.newest_fiscal_year(gifts))
 
 
 @query

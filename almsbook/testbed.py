@@ -7,6 +7,7 @@ the two-line expansion of the ledger is spelled differently, see ``SPARK_LINES``
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # The chart of accounts, the posting lags and the injected defects of the test books.
 TEXTS = {
@@ -101,6 +102,10 @@ MISSING_BATCH = ("1998-03-10", "1998-03-16")
 WINDOW_END = "2001-06-30"
 
 
+# Schemas of the tables read so far, so that a session opens the footers of a table once.
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 class Testbed:
     """The frames over one folder of test tables, each built once."""
 
@@ -111,7 +116,11 @@ class Testbed:
         self.sf_dir = sf_dir
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        known = (self.spark.sparkContext.applicationId, path)
+        if known not in _schemas:
+            _schemas[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[known]).parquet(path)
 
     def _frame(self, name: str, *tables: str, **frames: DataFrame) -> DataFrame:
         text = TEXTS[name].replace("{lines}", SPARK_LINES)

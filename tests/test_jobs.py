@@ -96,6 +96,17 @@ def test_reconciliation_from_the_mart_equals_staging(spark, warehouse, books):
     assert rows(books.recon) == rows(direct)
 
 
+def test_sql_over_the_views(spark, warehouse, books):
+    names = jobs.register_views(spark, f"{warehouse}/raw", f"{warehouse}/mart")
+    for name in names:
+        assert spark.table(name).count() > 0
+    assert rows(spark.sql("SELECT * FROM fund_reconciliation")) == rows(books.recon)
+    got = spark.sql("SELECT donor_id, segment FROM donor_segments_of(2026) ORDER BY donor_id").collect()
+    assert [tuple(r) for r in got] == [("d1", "Active"), ("d2", "Lapsing"), ("d3", "New")]
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
 def test_quality_log_grows_by_six_rows_per_run(spark, books, tmp_path):
     log = f"{tmp_path}/dq_results"
     first = jobs.log_quality(books, log, "first")
@@ -152,3 +163,19 @@ def test_crm_extracts_lose_their_envelope(spark, tmp_path):
     ]
     (tmp_path / "k.json").write_text('{"attributes":{},"Id":"c","Name":"Drive","ExpectedRevenue":5,"StartDate":"2024-05-01"}\n')
     assert rows(crm.crm_campaigns(spark, str(tmp_path / "k.json"))) == [("c", "Drive", dec("5.00"), date(2024, 5, 1), None)]
+
+
+def test_command_line(spark, extracts, tmp_path):
+    from almsbook.__main__ import run
+
+    source = tmp_path / "extracts"
+    source.mkdir()
+    for name, path in extracts.items():
+        (source / f"{name}.csv").symlink_to(path)
+    raw, store = f"{tmp_path}/raw", f"{tmp_path}/mart"
+    run(spark, ["land", "--extracts", str(source), "--raw", raw])
+    run(spark, ["load", "--raw", raw, "--mart", store])
+    run(spark, ["grade", "--raw", raw, "--mart", store, "--out", f"{tmp_path}/log"])
+    run(spark, ["statements", "--raw", raw, "--mart", store, "--out", f"{tmp_path}/statements"])
+    assert spark.read.parquet(f"{tmp_path}/log").count() == 6
+    assert spark.read.parquet(f"{tmp_path}/statements/header").count() == 1
