@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almsbook.operators.checks import as_rows, check_row, expectation_row, within_tolerance
+from almsbook.operators.matching import has_match
 from almsbook.operators.reconcile import NEEDS_REVIEW
-from almsbook.operators.skew import has_match
 from almsbook.plans.reconciliation import transaction_balances
 
 # Names, tables and severities of the checks as the scorecard shows them.

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from almsbook.functions.calendar import with_fiscal_period
 from almsbook.functions.money import money, whole
+from almsbook.operators.matching import without_match
 from almsbook.operators.reconcile import ABSOLUTE_TOLERANCE, NEEDS_REVIEW, RELATIVE_TOLERANCE, reconcile
-from almsbook.operators.skew import join_unique
 
 FUND_MONTH = ["fund_id", "fiscal_year", "fiscal_month"]
 
@@ -81,8 +81,7 @@ def recon_totals(recon: DataFrame) -> DataFrame:
 
 def gifts_without_gl(gifts: DataFrame, ledger: DataFrame) -> DataFrame:
     """Gifts that no ledger line refers to."""
-    posted = ledger.select(F.col("source_gift_id").alias("gift_id")).distinct()
-    return join_unique(gifts, posted, "gift_id", "left_anti").select(gifts.columns)
+    return without_match(gifts, ledger, "gift_id", "source_gift_id")
 
 
 def missing_batch_window(gifts: DataFrame, ledger: DataFrame, first_day, last_day) -> DataFrame:
@@ -92,9 +91,9 @@ def missing_batch_window(gifts: DataFrame, ledger: DataFrame, first_day, last_da
 
 def transaction_balances(ledger: DataFrame) -> DataFrame:
     """Debits less credits per transaction; the lines of one transaction combine before they move."""
-    debit = F.sum(F.coalesce("debit_amount", money(F.lit(0))))
-    credit = F.sum(F.coalesce("credit_amount", money(F.lit(0))))
-    return ledger.groupBy("transaction_id").agg(money(debit - credit).alias("diff"))
+    nothing = money(F.lit(0))
+    line = F.coalesce("debit_amount", nothing) - F.coalesce("credit_amount", nothing)
+    return ledger.groupBy("transaction_id").agg(money(F.sum(line)).alias("diff"))
 
 
 def gl_unbalanced(ledger: DataFrame, tolerance: Decimal = Decimal("0.01")) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from almsbook.functions.money import money
 from almsbook.functions.text import display_name, name_key, normal_email
+from almsbook.operators.matching import survivor_map
 from almsbook.operators.merging import first_per_group
-from almsbook.operators.skew import join_unique
 
 
 def clean_names(contacts: DataFrame) -> DataFrame:
@@ -35,11 +35,7 @@ def stg_donors(contacts: DataFrame) -> DataFrame:
 
 def donor_survivor_map(contacts: DataFrame) -> DataFrame:
     """Every donor id with the id of the record that survives the dedupe."""
-    # Donors without a name form one group, as they do in the dedupe; the prefix keeps it apart from ''.
-    token = F.coalesce(F.concat(F.lit("="), name_key(F.col("donor_name"))), F.lit(""))
-    named = contacts.select("donor_id", token.alias("token"))
-    survivors = named.groupBy("token").agg(F.min("donor_id").alias("survivor_id"))
-    return join_unique(named, survivors, "token", "inner").select("donor_id", "survivor_id")
+    return survivor_map(contacts, name_key(F.col("donor_name")), "donor_id", "survivor_id")
 
 
 def stg_gifts(gifts: DataFrame, funds: DataFrame) -> DataFrame:

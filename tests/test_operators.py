@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from almsbook.operators import merging, ranking, reconcile, skew
+from almsbook.operators import matching, merging, ranking, reconcile
 from almsbook.operators.checks import within_tolerance
 from helpers import dec, rows
 
@@ -19,30 +19,29 @@ def skewed(spark):
     return spark.createDataFrame(data, "k int, v int")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_join_unique_equals_plain_join(spark, skewed, how):
-    right = spark.createDataFrame([(k, f"r{k}") for k in range(0, 600, 7)] + [(None, "null")], "k int, name string")
-    assert rows(skew.join_unique(skewed, right, "k", how)) == rows(skewed.join(right, "k", how))
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_without_match_equals_anti_join(spark, skewed, broadcast):
+    right = spark.createDataFrame([(k,) for k in range(0, 600, 7)] + [(None,)], "other int")
+    expected = rows(skewed.join(right, skewed.k == right.other, "left_anti"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        assert rows(matching.without_match(skewed, right, "k", "other")) == expected
+        nothing = right.where("false")
+        assert rows(matching.without_match(skewed, nothing, "k", "other")) == rows(skewed)
+        assert matching.without_match(skewed.where("false"), right, "k", "other").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
 
 
-def test_join_unique_finds_the_hot_key(spark, skewed):
-    found = skew.frequent_values(skewed, "k")
-    assert 7 in found and None not in found and len(found) <= 1 / skew.HOT_SHARE
-
-
-def test_join_unique_on_empty_left(spark, skewed):
-    right = spark.createDataFrame([(1, "a")], "k int, name string")
-    assert skew.join_unique(skewed.where("false"), right, "k", "left").count() == 0
-
-
-def test_join_unique_refuses_other_joins(spark, skewed):
-    with pytest.raises(ValueError):
-        skew.join_unique(skewed, skewed, "k", "full")
+def test_survivor_map_keeps_every_row(spark):
+    df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (5, None), (4, None), (6, ""), (None, "c")], "id int, g string")
+    got = rows(matching.survivor_map(df, F.col("g"), "id", "to_id"))
+    assert got == [(None, None), (1, 1), (2, 2), (3, 1), (4, 4), (5, 4), (6, 6)]
 
 
 def test_has_match_counts_every_left_row(spark, skewed):
     right = spark.createDataFrame([(7,), (7,), (10,), (None,)], "other int")
-    got = skew.has_match(skewed, right, "k", "other")
+    got = matching.has_match(skewed, right, "k", "other")
     totals = got.groupBy("matched").agg(F.sum("n")).collect()
     # 200 rows share key 7, which also is the key of row 7; row 10 matches by its own key.
     expected = {True: 200 + 1 + 1, False: 600 - 202}

@@ -79,7 +79,7 @@ def test_no_plan_gathers_or_crosses_facts(spark, sf_dir, name):
         ("stg_gifts", 0), ("gifts_orphaned", 0), ("stg_gl", 0), ("stg_pledges", 0), ("journal_lines", 0),
         ("prep_valid", 0), ("prep_errors", 0), ("gift_side", 1), ("gl_side", 1), ("gl_unbalanced", 1),
         ("stg_donors", 1), ("donor_fy", 1), ("gift_type_mix", 1), ("fund_reconciliation", 2), ("donor_summary", 2),
-        ("upsert_dim_donor", 2), ("fact_gifts", 1),
+        ("upsert_dim_donor", 2), ("fact_gifts", 1), ("gifts_without_gl", 0), ("donor_survivor_map", 0),
     ],
 )
 def test_shuffle_budget(spark, sf_dir, name, most):
