@@ -1,4 +1,6 @@
-"""Run a job: ``spark-submit … -m almsbook JOB`` or ``python -m almsbook JOB`` with the options below."""
+"""Run a job: ``python -m almsbook JOB …``, or with the package zipped
+``spark-submit --py-files almsbook.zip almsbook/__main__.py JOB …``.
+"""
 
 import argparse
 
@@ -23,6 +25,10 @@ def _options() -> argparse.ArgumentParser:
     load.add_argument("--mart", required=True)
     load.add_argument("--loaded", help="mart version to build on")
 
+    extend = job.add_parser("extend", help="add new rows to the mart in place")
+    extend.add_argument("--raw", required=True)
+    extend.add_argument("--mart", required=True)
+
     for name, text in (
         ("grade", "append the quality checks to the log"),
         ("metrics", "write the metrics document"),
@@ -46,6 +52,8 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         jobs.land_raw(spark, {t: f"{chosen.extracts}/{t}.csv" for t in chosen.tables}, chosen.raw)
     elif chosen.job == "load":
         jobs.load_mart(spark, chosen.raw, chosen.mart, chosen.loaded)
+    elif chosen.job == "extend":
+        jobs.extend_mart(spark, chosen.raw, chosen.mart)
     elif chosen.job == "prep":
         jobs.run_prep(spark, chosen.adjustments, chosen.funds, chosen.out).show(truncate=False)
     else:

@@ -20,13 +20,18 @@ def first_per_group(df: DataFrame, group: list[Column], order: list[str]) -> Dat
     return best.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` plus one row for each key of ``batch`` that it lacks; existing rows are untouched.
+def absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of ``batch`` for each key that ``target`` lacks.
 
     Both join inputs hold a key once, so the anti-join cannot skew; the target shuffles its keys only.
     """
     fresh = first_per_group(batch.select(target.columns), [F.col(k) for k in keys], keys)
-    return target.unionByName(fresh.join(target.select(keys), keys, "left_anti"))
+    return fresh.join(target.select(keys), keys, "left_anti").select(target.columns)
+
+
+def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """``target``, its rows untouched, plus one row for each key of ``batch`` that it lacks."""
+    return target.unionByName(absent(target, batch, keys))
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, update: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almsbook.operators.merging import absent
 from almsbook.plans import calendar, document, donors, mart, prep, quality, reconciliation, staging, statement
 from almsbook.schemas import ADJUSTMENTS, FUNDS
 from almsbook.sources.files import contract, scan_csv, write_csv
@@ -51,6 +52,22 @@ def load_mart(spark: SparkSession, raw_dir: str, mart_dir: str, loaded_dir: str
         mart.load(table, batch, loaded).write.parquet(f"{mart_dir}/{table}")
 
 
+def extend_mart(spark: SparkSession, raw_dir: str, mart_dir: str) -> None:
+    """Add what the raw layer has over the mart, in place.
+
+    Rows with new keys are appended, so the loaded facts are read by key but never rewritten. Only the
+    donor dimension is, since known donors may change their name. Running it again adds nothing.
+    """
+    for table, batch in mart_tables(spark, raw_dir).items():
+        path = f"{mart_dir}/{table}"
+        loaded = spark.read.parquet(path)
+        if table == "dim_donor":
+            # Written aside first: a table cannot be overwritten while it is read.
+            materialize(mart.load(table, batch, loaded), table).write.mode("overwrite").parquet(path)
+        else:
+            absent(loaded, batch, mart.KEYS[table]).write.mode("append").parquet(path)
+
+
 def books_of(spark: SparkSession, raw_dir: str, mart_dir: str) -> document.Books:
     """Shared frames over a loaded mart; reconciliation and donor scores are computed once."""
 

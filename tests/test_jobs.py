@@ -88,6 +88,26 @@ def test_loading_again_adds_nothing(spark, warehouse):
         assert rows(spark.read.parquet(f"{warehouse}/mart2/{name}")) == rows(spark.read.parquet(f"{warehouse}/mart/{name}"))
 
 
+def test_extending_in_place(spark, warehouse, extracts, tmp_path):
+    raw, store = f"{tmp_path}/raw", f"{tmp_path}/mart"
+    jobs.land_raw(spark, extracts, raw)
+    jobs.load_mart(spark, raw, store)
+    gifts_before = {r[0]: r for r in spark.read.parquet(f"{store}/fact_gifts").collect()}
+    late = gifts(spark, ("g1", "d1", "A", "2024-07-05", "9999.00"), ("g7", "d9", "B", "2026-07-01", "5.00"))
+    landing.land(late, f"{raw}/gifts")
+    renamed = spark.createDataFrame([("d2", "Bo R. Ray", "Organization", None, None, "CA")], schemas.CONTACTS)
+    landing.land(renamed, f"{raw}/contacts")
+    for _ in range(2):  # the second run finds nothing to add
+        jobs.extend_mart(spark, raw, store)
+        facts = {r[0]: r for r in spark.read.parquet(f"{store}/fact_gifts").collect()}
+        assert spark.read.parquet(f"{store}/fact_gifts").count() == len(facts) == 5
+        assert {k: facts[k] for k in gifts_before} == gifts_before
+        donors = rows(spark.read.parquet(f"{store}/dim_donor").select("donor_id", "donor_name", "state"))
+        assert donors == [("d1", "Ann Lee", "WA"), ("d2", "Bo R. Ray", None), ("d3", "Cy, Inc.", "OR")]
+        assert spark.read.parquet(f"{store}/dim_date").count() == 365 * 3
+        assert spark.read.parquet(f"{store}/fact_gl").count() == 6
+
+
 def test_reconciliation_from_the_mart_equals_staging(spark, warehouse, books):
     raw = lambda name: landing.read_raw(spark, name, f"{warehouse}/raw")
     direct = reconciliation.fund_reconciliation(
@@ -175,6 +195,7 @@ def test_command_line(spark, extracts, tmp_path):
     raw, store = f"{tmp_path}/raw", f"{tmp_path}/mart"
     run(spark, ["land", "--extracts", str(source), "--raw", raw])
     run(spark, ["load", "--raw", raw, "--mart", store])
+    run(spark, ["extend", "--raw", raw, "--mart", store])
     run(spark, ["grade", "--raw", raw, "--mart", store, "--out", f"{tmp_path}/log"])
     run(spark, ["statements", "--raw", raw, "--mart", store, "--out", f"{tmp_path}/statements"])
     assert spark.read.parquet(f"{tmp_path}/log").count() == 6
