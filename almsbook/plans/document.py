@@ -95,6 +95,87 @@ def read_section(spark: SparkSession, path: str, name: str, like: DataFrame) ->
     return lines.select(F.from_json("value", like.schema).alias("row")).select("row.*")
 
 
+def _entries(part: DataFrame, order: list[Column], entry: Column) -> Column:
+    """The rows of a section as one ordered array, as a scalar subquery."""
+    placed = F.array_sort(F.collect_list(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], entry.alias("entry"))))
+    return part.agg(F.transform(placed, lambda row: row["entry"]).alias("entries")).scalar()
+
+
+def _record(**fields: str | Column) -> Column:
+    """A struct of renamed columns."""
+    return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in fields.items()])
+
+
+def _tally(part: DataFrame, key: str) -> Column:
+    return part.agg(F.map_from_entries(F.collect_list(F.struct(key, "n"))).alias("tally")).scalar()
+
+
+def nested_document(parts: dict[str, DataFrame]) -> DataFrame:
+    """All sections as one JSON text with a part per report page; one row.
+
+    Page and field names are fixed values: readers of the document look them up.
+    """
+    kpis = parts["executive_kpis"].select(F.struct("*").alias("kpis")).scalar()
+    totals = parts["recon_totals"].select(F.struct("*").alias("totals")).scalar()
+    rate = quality.dq_pass_rate(parts["dq_results"]).select(F.struct("*").alias("rate")).scalar()
+    by_month = F.array_sort(F.collect_list(F.struct("fiscal_month", "amount")))
+    trend = parts["monthly_trend"].groupBy("fy_label").agg(F.transform(by_month, lambda m: m["amount"]).alias("values"))
+    matrix, segments = parts["fund_segment_matrix"], donors.SEGMENTS
+    cells = F.array(*[F.col(s) for s in segments])
+
+    def of(struct: Column, *names: str) -> list[Column]:
+        return [struct[name].alias(name) for name in names]
+
+    meta = F.struct(*of(kpis, "current_fy", "prior_fy"), F.current_timestamp().cast("string").alias("generated_at"))
+    overview_page = F.struct(
+        *of(kpis, "ytd_total", "prior_total", "yoy_growth", "donor_count", "avg_gift", "total_goal", "goal_attainment_pct"),
+        _entries(trend, [F.col("fy_label") == "Current FY"], _record(fy_label="fy_label", values="values")).alias("monthly_trend"),
+        _entries(parts["top_funds"], [-F.col("amount"), F.col("fund_name")], _record(fund="fund_name", amount="amount"))
+        .alias("top_funds"),
+        _entries(parts["gift_type_mix"], [F.col("gift_type")], _record(type="gift_type", amount="amount")).alias("gift_type_mix"),
+    )
+    best = _record(donor="donor_name", segment="segment", lifetime=whole(F.col("lifetime")), rfm_score="rfm_score")
+    retention_page = F.struct(
+        _tally(parts["segment_counts"], "segment").alias("segment_counts"),
+        parts["revenue_at_risk"].scalar().alias("revenue_at_risk"),
+        _entries(parts["retention_by_fy"], [F.col("fiscal_year")], F.struct("fiscal_year", "retention_rate"))
+        .alias("retention_by_fy"),
+        _entries(parts["top_donors"], [-F.col("rfm_score"), -F.col("lifetime"), F.col("donor_id")], best).alias("top_donors"),
+        F.struct(
+            _entries(matrix, [F.col("fund_name")], F.col("fund_name")).alias("funds"),
+            F.array(*[F.lit(s) for s in segments]).alias("segments"),
+            _entries(matrix, [F.col("fund_name")], cells).alias("values"),
+        ).alias("matrix"),
+    )
+    flagged = _record(
+        fund="fund_name", fiscal_year="fiscal_year", fiscal_month="fiscal_month", gifts_recorded=whole(F.col("gifts_recorded")),
+        gl_posted=whole(F.col("gl_posted")), variance=whole(F.col("variance")), status="status",
+    )
+    largest = [-F.abs("variance"), F.col("fund_id").isNull(), F.col("fund_id"), F.col("fiscal_year"), F.col("fiscal_month")]
+    by_fund = _record(fund="fund_name", variance="variance")
+    reconciliation_page = F.struct(
+        _tally(parts["recon_status_counts"], "status").alias("status_counts"),
+        _entries(parts["variance_by_fund"], [F.col("variance"), F.col("fund_name")], by_fund).alias("by_fund_variance"),
+        _entries(parts["flagged_variances"], largest, flagged).alias("flagged"),
+        whole(totals["total_gifts"]).alias("total_gifts"),
+        whole(totals["total_gl"]).alias("total_gl"),
+    )
+    check = _record(name="check_name", table="table_name", severity="severity", affected="row_count_affected", passed="passed")
+    quality_page = F.struct(
+        _entries(parts["dq_results"], [F.col("check_no")], check).alias("checks"),
+        *of(rate, "pass_rate", "total_checks", "passed_checks"),
+    )
+    pages = F.struct(
+        meta.alias("meta"),
+        overview_page.alias("page1_overview"),
+        retention_page.alias("page2_retention"),
+        reconciliation_page.alias("page3_reconciliation"),
+        quality_page.alias("page4_dataquality"),
+    )
+    one_row = parts["executive_kpis"].sparkSession.range(1)
+    return one_row.select(F.to_json(pages, {"ignoreNullFields": "false"}).alias("value"))
+
+
 def long_form(name: str, part: DataFrame) -> DataFrame:
     """A section as (section, entry, measure, number, label) rows, so all sections fit one table."""
     keys = ENTRY_KEYS[name]

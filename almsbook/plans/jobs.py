@@ -127,7 +127,12 @@ def log_quality(books: document.Books, log_dir: str, run_id: str | None = None)
 
 
 def write_metrics(books: document.Books, out_dir: str) -> None:
-    document.write_document(document.sections(books), out_dir)
+    """The sections as datasets of their own, and the nested document built from them."""
+    parts = document.sections(books)
+    document.write_document(parts, f"{out_dir}/sections")
+    spark = books.gifts.sparkSession
+    written = {name: document.read_section(spark, f"{out_dir}/sections", name, part) for name, part in parts.items()}
+    document.nested_document(written).coalesce(1).write.mode("overwrite").text(f"{out_dir}/document")
 
 
 def write_statements(books: document.Books, out_dir: str, top_n: int | None = 15) -> None:

@@ -1,5 +1,6 @@
 """The whole flow over files: land, load twice, grade, report."""
 
+import json
 from datetime import date
 
 import pytest
@@ -146,6 +147,33 @@ def test_metrics_document_reads_back_what_was_computed(spark, books, tmp_path):
     assert (kpis["current_fy"], kpis["ytd_total"], kpis["goal_attainment_pct"]) == (2026, dec("2075.00"), 51.9)
 
 
+def test_nested_document(spark, books, tmp_path):
+    jobs.write_metrics(books, str(tmp_path))
+    (text,) = [r[0] for r in spark.read.text(f"{tmp_path}/document").collect()]
+    doc = json.loads(text)
+    assert (doc["meta"]["current_fy"], doc["meta"]["prior_fy"]) == (2026, 2025)
+    first, second, third, fourth = (doc[k] for k in (
+        "page1_overview", "page2_retention", "page3_reconciliation", "page4_dataquality"))
+    assert [t["fy_label"] for t in first["monthly_trend"]] == ["Prior FY", "Current FY"]
+    assert first["monthly_trend"][1]["values"] == [75, 2000] + [0] * 10
+    assert first["top_funds"] == [{"fund": "Fund B", "amount": 2075}, {"fund": "Fund A", "amount": 1251}]
+    assert (first["ytd_total"], first["yoy_growth"], first["donor_count"], first["avg_gift"]) == (2075, 65.9, 2, 1037.5)
+    assert second["segment_counts"] == {"Active": 1, "Lapsing": 1, "New": 1} and second["revenue_at_risk"] == 251
+    assert second["matrix"] == {
+        "funds": ["Fund A", "Fund B"], "segments": ["Active", "Lapsed", "Lapsing", "New"],
+        "values": [[1000, 0, 251, 0], [2000, 0, 0, 75]],
+    }
+    assert second["retention_by_fy"] == [{"fiscal_year": 2026, "retention_rate": 50.0}]
+    assert [d["donor"] for d in second["top_donors"]] == ["Ann Lee", "Bo Ray", "Cy, Inc."]
+    assert third["status_counts"] == {"Needs Review": 1, "Reconciled": 3}
+    assert third["flagged"] == [{
+        "fund": "Fund B", "fiscal_year": 2026, "fiscal_month": 2, "gifts_recorded": 2000, "gl_posted": 0,
+        "variance": 2000, "status": "Needs Review",
+    }]
+    assert [c["affected"] for c in fourth["checks"]] == [1, 1, 1, 0, 1, 1]
+    assert (fourth["pass_rate"], fourth["total_checks"], fourth["passed_checks"]) == (17.0, 6, 1)
+
+
 def test_statements_per_period(spark, books, tmp_path):
     jobs.write_statements(books, f"{tmp_path}/statements")
     header = spark.read.parquet(f"{tmp_path}/statements/header")
