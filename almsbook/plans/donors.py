@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from almsbook.functions.calendar import fiscal_year, with_fiscal_period
 from almsbook.functions.money import MONEY, money, percent, whole
 from almsbook.operators.ranking import bin_of_value, equal_bins_of_rank, global_rank, quantile_edges
+from almsbook.sources.storage import materialize
 
 # Segment names in report order.
 SEGMENTS = ["Active", "Lapsed", "Lapsing", "New"]
@@ -176,9 +177,9 @@ def rfm_scores(summary: DataFrame, bins: int = 5) -> DataFrame:
 
 
 def top_donors(scores: DataFrame, contacts: DataFrame, current_fy: Column | int, top_n: int = 10) -> DataFrame:
-    """Best scores first, then lifetime giving; only the chosen rows look up a name."""
+    """Best scores first, then lifetime giving; only the chosen rows, settled once, look up a name."""
     year = current_fy if isinstance(current_fy, Column) else F.lit(current_fy)
-    best = scores.orderBy(F.desc("rfm_score"), F.desc("lifetime"), "donor_id").limit(top_n)
+    best = materialize(scores.orderBy(F.desc("rfm_score"), F.desc("lifetime"), "donor_id").limit(top_n), "top-donors")
     names = contacts.select("donor_id", "donor_name").join(F.broadcast(best.select("donor_id")), "donor_id", "left_semi")
     return best.join(names, "donor_id", "left").select(
         "donor_id", "donor_name",

@@ -1,7 +1,6 @@
 """Every deliverable as a callable over a folder of test tables."""
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +21,10 @@ QUERIES: dict[str, Query] = {}
 def query(build: Callable[[Testbed], DataFrame]) -> Callable[[Testbed], DataFrame]:
     """Register ``build`` under its own name."""
 
-    @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(Testbed(tuned(spark), sf_dir))
 
+    run.__name__ = run.__qualname__ = build.__name__
     QUERIES[build.__name__] = run
     return build
 
@@ -371,14 +370,19 @@ def prep_error_breakdown(t):
 # Statements
 
 
+def _flagged(t: Testbed) -> DataFrame:
+    """The flagged rows, written once because periods and counts both read them."""
+    return materialize(flagged_variances(t), "flagged")
+
+
 @query
 def statement_periods(t):
-    return statement.statement_periods(flagged_variances(t), _gifts(t))
+    return statement.statement_periods(_flagged(t), _gifts(t))
 
 
 @query
 def statement_header(t):
-    flagged = flagged_variances(t)
+    flagged = _flagged(t)
     return statement.statement_header(statement.statement_periods(flagged, _gifts(t)), flagged)
 
 
