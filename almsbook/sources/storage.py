@@ -9,12 +9,12 @@ _local_base: str | None = None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, or below a checkpoint folder set by the caller.
 
     Every executor has to reach it, so a machine-local folder is only made up for a local master.
     """
     global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
