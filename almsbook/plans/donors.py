@@ -28,6 +28,14 @@ def _year(gifts: DataFrame, current_fy: int | Column | None) -> Column:
     return current_fy if isinstance(current_fy, Column) else F.lit(current_fy)
 
 
+def by_survivor(gifts: DataFrame, survivors: DataFrame) -> DataFrame:
+    """The gifts under the id that survives the donor dedupe, for figures per person instead of per record."""
+    moved = survivors.where(F.col("survivor_id") != F.col("donor_id"))
+    donor = F.coalesce("survivor_id", "donor_id").alias("donor_id")
+    kept = [donor if c == "donor_id" else F.col(c) for c in gifts.columns]
+    return gifts.join(moved, "donor_id", "left").select(*kept)
+
+
 def donor_fy(gifts: DataFrame) -> DataFrame:
     periods = with_fiscal_period(gifts, "gift_date")
     return periods.groupBy("donor_id", "fiscal_year").agg(money(F.sum("gift_amount")).alias("fy_total"))

@@ -13,7 +13,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    return local_session("*", memory="4g", shared_dir=str(tmp_path_factory.mktemp("shared")))
+    return local_session("*", memory="4g", partitions=4, shared_dir=str(tmp_path_factory.mktemp("shared")))
 
 
 @pytest.fixture(scope="session")

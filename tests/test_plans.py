@@ -211,6 +211,14 @@ def test_retention_uses_the_previous_year_with_gifts(spark, giving):
     assert donors.retention_by_fy(giving.where("gift_id = 'g1'")).count() == 0
 
 
+def test_retention_per_person(spark, giving):
+    survivors = spark.createDataFrame([("d1", "d1"), ("d2", "d1"), ("d3", "d1"), ("d4", "d4")], "donor_id string, survivor_id string")
+    merged = donors.by_survivor(giving, survivors)
+    assert merged.columns == giving.columns and merged.count() == giving.count()
+    assert rows(donors.retention_by_fy(merged)) == [(2025, 100.0), (2026, 100.0)]
+    assert rows(donors.donor_summary(merged).select("donor_id", "frequency")) == [("d1", 3), ("d4", 1)]
+
+
 def test_retention_without_returning_donors(spark):
     given = gifts(spark, ("g1", "d1", "A", "2023-08-01", "1"), ("g2", "d2", "A", "2024-08-01", "1"))
     assert rows(donors.retention_by_fy(given)) == [(2025, 0.0)]
