@@ -2,13 +2,47 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almsbook.llm import simhash
+from almsbook.llm import decontaminate, language_id, length_buckets, license_scan, line_templates, seed_extend, simhash, token_records
 from almsbook.llm.common import table
 
 
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.digest(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.digest(table(spark, sf_dir, "documents"))
+
+
+def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seed_extend.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op8_simhash": op8_simhash}
-SQL: dict[str, str] = {}
+def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_buckets.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_records, op2_language_id, op3_license_scan, op5_line_templates, op7_seed_extend,
+        op8_simhash, op9_length_buckets, op10_decontaminate,
+    )
+}
+SQL: dict[str, str] = {"op5_line_templates": line_templates.SQL}
