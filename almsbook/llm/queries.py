@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almsbook.llm import decontaminate, language_id, length_buckets, license_scan, line_templates, seed_extend, simhash, token_records
+from almsbook.llm import (
+    decontaminate, language_id, length_buckets, license_scan, line_templates, lm_score, nn_descent, seed_extend, simhash, token_records,
+)
 from almsbook.llm.common import table
 
 
@@ -18,10 +20,18 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_extend.digest(table(spark, sf_dir, "documents"))
 
@@ -41,7 +51,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_records, op2_language_id, op3_license_scan, op5_line_templates, op7_seed_extend,
+        op1_token_records, op2_language_id, op3_license_scan, op4_lm_score, op5_line_templates, op6_nn_descent, op7_seed_extend,
         op8_simhash, op9_length_buckets, op10_decontaminate,
     )
 }

@@ -69,6 +69,11 @@ def payload_at(data: memoryview, offset: int) -> bytes:
     return payload
 
 
+def name_at(data: memoryview, offset: int) -> int | None:
+    flags, doc_id = LEAD.unpack_from(data, offset + HEAD.size)
+    return None if flags & NAMELESS else doc_id
+
+
 def next_record(data: memoryview, offset: int) -> int:
     return offset + HEAD.size + SIZE.unpack_from(data, offset)[0] + SUM.size + 1
 
@@ -197,8 +202,7 @@ def index_of(spark: SparkSession, out: str) -> DataFrame:
                 data, offset, rows = memoryview(content.as_buffer()), 0, []
                 while offset < len(data):
                     after = next_record(data, offset)
-                    flags, doc_id = LEAD.unpack_from(data, offset + HEAD.size)
-                    rows.append((file.as_py(), len(rows), offset, after - offset, None if flags & NAMELESS else doc_id))
+                    rows.append((file.as_py(), len(rows), offset, after - offset, name_at(data, offset)))
                     offset = after
                 yield to_batch(rows, INDEX)
 
