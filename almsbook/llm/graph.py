@@ -22,10 +22,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         before = state
         both = current.select("v", "u").unionByName(current.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
+        least = materialize(both.groupBy("v").agg(F.min(F.least("u", "v")).alias("m")), "least")
         # Large star: larger neighbours of v now hang on the smallest node around v.
         large = materialize(both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct(), "large")
-        lowest = large.groupBy("v").agg(F.min("u").alias("m"))
+        lowest = materialize(large.groupBy("v").agg(F.min("u").alias("m")), "lowest")
         # Small star: v and its smaller neighbours hang on the smallest of them.
         small = large.join(lowest, "v")
         current = materialize(

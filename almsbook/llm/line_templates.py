@@ -102,7 +102,8 @@ def recurring_lines(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_
         seen.groupBy("leaf").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         .where((F.col("n") >= least_docs) & (F.col("lo") < F.col("hi"))).select("leaf")
     )
-    seen = materialize(seen.join(leaves, "leaf"), "shared-leaves")
+    # Sums are written before they join back, so that the adaptive skew join can split a hot leaf.
+    seen = materialize(seen.join(materialize(leaves, "leaves"), "leaf"), "shared-leaves")
     lines = materialize(
         seen.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("doc_id").alias("doc_id")), "distinct-lines"
     )
@@ -111,7 +112,7 @@ def recurring_lines(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_
     constant = tokens.groupBy("leaf", "cell").agg(F.sum("docs").alias("m")).where(F.col("m") >= least_docs)
     wide = F.col("constants") >= F.col("n") * F.lit(least_share)
     parsed = (
-        tokens.join(constant, ["leaf", "cell"], "left")
+        tokens.join(materialize(constant, "constants"), ["leaf", "cell"], "left")
         .groupBy("leaf", "line", "n")
         .agg(
             F.count("m").alias("constants"),
@@ -126,19 +127,23 @@ def recurring_lines(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_
         )
     )
     placed = materialize(
-        seen.join(parsed, ["leaf", "line"]).select("doc_id", "line", "template"), "templates"
+        seen.join(materialize(parsed, "parsed"), ["leaf", "line"]).select("doc_id", "line", "template"), "templates"
     )
     found = (
         placed.select("template", "doc_id").distinct().groupBy("template")
         .agg(F.count("*").alias("docs"), F.min("doc_id").alias("origin")).where(F.col("docs") >= least_docs)
     )
-    return placed.join(found, "template").where("doc_id <> origin").select("doc_id", "line")
+    return placed.join(materialize(found, "found-templates"), "template").where("doc_id <> origin").select("doc_id", "line")
 
 
 def with_dropped(docs: DataFrame, depth: int, least_docs: int, least_share: float) -> DataFrame:
+    """``docs`` with the lines to drop from each text as the last column, whatever its name has to be."""
+    name = "dropped_lines"
+    while name in docs.columns:
+        name += "_"
     dropped = recurring_lines(docs, depth, least_docs, least_share)
-    lists = materialize(dropped.groupBy("doc_id").agg(F.collect_set("line").alias("_dropped_lines")), "dropped-lines")
-    return docs.join(lists, "doc_id", "left").select(*[docs[c] for c in docs.columns], "_dropped_lines")
+    lists = materialize(dropped.groupBy("doc_id").agg(F.collect_set("line").alias(name)), "dropped-lines")
+    return docs.join(lists, "doc_id", "left").select(*[docs[c] for c in docs.columns], name)
 
 
 def keep_lines(text: str | None, dropped: list[int] | None, depth: int) -> list[bytes]:
@@ -156,7 +161,7 @@ def drop_lines(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_share
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            texts, dropped = batch.column(at), batch.column("_dropped_lines")
+            texts, dropped = batch.column(at), batch.column(batch.num_columns - 1)
             kept = [
                 b"\n".join(keep_lines(texts[i].as_py(), dropped[i].as_py(), depth)).decode() if dropped[i].is_valid else texts[i].as_py()
                 for i in range(batch.num_rows)
@@ -178,7 +183,7 @@ def digest(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_share: fl
             for i in range(batch.num_rows):
                 text = batch.column("text")[i].as_py()
                 lines = lines_of(text)
-                kept = keep_lines(text, batch.column("_dropped_lines")[i].as_py(), depth)
+                kept = keep_lines(text, batch.column("dropped_lines")[i].as_py(), depth)
                 digest = hashlib.sha256(b"\n".join(kept)).hexdigest()
                 held.append((batch.column("doc_id")[i].as_py(), len(lines), len(lines) - len(kept), digest))
             if held:

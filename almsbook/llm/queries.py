@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from almsbook.llm import (
     decontaminate, language_id, length_buckets, license_scan, line_templates, lm_score, nn_descent, seed_extend, simhash, token_records,
 )
@@ -54,5 +55,8 @@ QUERIES = {
         op1_token_records, op2_language_id, op3_license_scan, op4_lm_score, op5_line_templates, op6_nn_descent, op7_seed_extend,
         op8_simhash, op9_length_buckets, op10_decontaminate,
     )
-}
-SQL: dict[str, str] = {"op5_line_templates": line_templates.SQL}
+} | {"pipeline": corpus_pipeline.run}
+
+SQL: dict[str, str] = {"op5_line_templates": line_templates.SQL, "op7_seed_extend": seed_extend.SQL}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -130,14 +130,16 @@ def repeated_windows(docs: DataFrame, least: int = 50, seed: int = 10) -> DataFr
         .where("lo < hi")
         .select("anchor", (F.col("s") != F.col("t")).alias("several"))
     )
-    hits = materialize(runs.join(shared, "anchor"), "hits")
-    origin = hits.groupBy("span").agg(F.min("doc_id").alias("origin"))
+    # Each sum is written before it joins back: the adaptive skew join only splits inputs that come
+    # straight from a shuffle or a scan.
+    hits = materialize(runs.join(materialize(shared, "shared-anchors"), "anchor"), "hits")
+    origin = materialize(hits.groupBy("span").agg(F.min("doc_id").alias("origin")), "origins")
     placed = materialize(hits.join(origin, "span"), "placed")
     whole = placed.where("origin < doc_id").select("doc_id", "text_hash", "first", "last")
     borders = placed.where("origin = doc_id and several").select("doc_id", "text_hash", "first", "last")
     windows = materialize(extend(docs, borders, least), "windows")
     earliest = windows.groupBy("window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    partial = windows.join(earliest, "window").where("lo < doc_id")
+    partial = windows.join(materialize(earliest, "earliest"), "window").where("lo < doc_id")
     return whole.unionByName(partial.select("doc_id", "text_hash", "first", F.col("first").alias("last")))
 
 
@@ -195,3 +197,28 @@ def remove_repeats(docs: DataFrame, least: int = 50, seed: int = 10) -> DataFram
 def digest(docs: DataFrame) -> DataFrame:
     """Rows of the query."""
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+# Every window by itself, without seeds.
+SQL = r"""
+WITH texts AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM texts)
+), origins AS (
+  SELECT k, min(doc_id) AS origin FROM windows GROUP BY k
+), hits AS (
+  SELECT doc_id, i FROM windows JOIN origins USING (k) WHERE origin < doc_id
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hits
+), words AS (
+  SELECT doc_id, generate_subscripts(words, 1) AS p, unnest(words) AS word FROM texts
+), kept AS (
+  SELECT w.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY w.p) AS kept
+  FROM words w LEFT JOIN covered c ON c.doc_id = w.doc_id AND c.p = w.p WHERE c.p IS NULL GROUP BY w.doc_id
+)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""

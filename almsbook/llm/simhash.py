@@ -123,7 +123,8 @@ def block_links(prints: DataFrame, max_bits: int = 3, room: int = 2048) -> DataF
         # One row per fingerprint and mask, whichever way led there.
         keyed = materialize(keyed.withColumn("value", F.col("fp").bitwiseAND(F.col("mask"))).distinct(), "blocks")
         sizes = keyed.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
-        met = materialize(keyed.join(sizes, ["mask", "value"]), "met")
+        # Written first, so that the adaptive skew join can split a crowded block.
+        met = materialize(keyed.join(materialize(sizes, "block-sizes"), ["mask", "value"]), "met")
         groups = met.where(F.col("n") <= room).groupBy("mask", "value").agg(F.collect_list("fp").alias("group"))
         links = groups.select("group").mapInArrow(solve, "a long, b long")
         out = links if out is None else out.unionByName(links)
@@ -144,7 +145,7 @@ def near_duplicates(
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = materialize(placed, "placed")
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = materialize(placed.join(least, "root").select("fp", "component_id"), "groups")
+    groups = materialize(placed.join(materialize(least, "least"), "root").select("fp", "component_id"), "groups")
     return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
