@@ -202,31 +202,28 @@ WITH numbered AS (
          [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
           FOR t IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF t <> ''] AS tokens
   FROM numbered
-), occurrences AS (
-  SELECT DISTINCT doc_id, tokens FROM tokenised WHERE len(tokens) > 0
+), named AS (
+  SELECT *, md5(array_to_string(tokens, ' ')) AS k, len(tokens) AS n, tokens[1:3] AS lead FROM tokenised
 ), lines AS (
-  SELECT tokens, count(*) AS docs FROM occurrences GROUP BY ALL
+  SELECT k, any_value(tokens) AS tokens, any_value(n) AS n, any_value(lead) AS lead, count(DISTINCT doc_id) AS docs
+  FROM named WHERE n > 0 GROUP BY k
 ), cells AS (
-  SELECT tokens, docs, len(tokens) AS n, tokens[1:3] AS lead, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token
-  FROM lines
+  SELECT k, docs, n, lead, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token FROM lines
 ), weighed AS (
   SELECT *, sum(docs) OVER (PARTITION BY n, lead, pos, token) >= 3 AS constant FROM cells
 ), patterns AS (
-  SELECT tokens, n, count(*) FILTER (constant) AS constants,
+  SELECT k, count(*) FILTER (constant) >= any_value(n) * 0.7 AS wide,
          list(CASE WHEN constant THEN token END ORDER BY pos) AS pattern
-  FROM weighed GROUP BY tokens, n
+  FROM weighed GROUP BY k
 ), templates AS (
-  SELECT tokens, constants >= n * 0.7 AS wide,
-         lead || CASE WHEN constants >= n * 0.7 THEN pattern ELSE tokens END AS template
-  FROM (SELECT *, tokens[1:3] AS lead FROM patterns)
+  SELECT k, wide, lead || CASE WHEN wide THEN pattern ELSE tokens END AS template FROM patterns JOIN lines USING (k)
 ), found AS (
   SELECT wide, template, count(DISTINCT doc_id) AS docs, min(doc_id) AS origin
-  FROM occurrences JOIN templates USING (tokens) GROUP BY wide, template
+  FROM named JOIN templates USING (k) GROUP BY wide, template
 ), gone AS (
-  SELECT tokens, origin FROM templates t JOIN found f ON t.wide = f.wide AND t.template = f.template WHERE docs >= 3
+  SELECT k, origin FROM templates t JOIN found f ON t.wide = f.wide AND t.template = f.template WHERE docs >= 3
 ), judged AS (
-  SELECT doc_id, line_no, line, g.tokens IS NOT NULL AND doc_id <> origin AS dropped
-  FROM tokenised t LEFT JOIN gone g ON t.tokens = g.tokens
+  SELECT doc_id, line_no, line, g.k IS NOT NULL AND doc_id <> origin AS dropped FROM named LEFT JOIN gone g USING (k)
 )
 SELECT d.doc_id, count(line_no) AS n_lines, count(line_no) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT dropped), '')) AS kept_sha256
