@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from almsbook.plans import jobs
 from almsbook.schemas import RAW
 from almsbook.session import tuned
+from almsbook.sources.storage import scratch_scope
 
 
 def _options() -> argparse.ArgumentParser:
@@ -31,6 +32,7 @@ def _options() -> argparse.ArgumentParser:
 
     for name, text in (
         ("grade", "append the quality checks to the log"),
+        ("expect", "check keys, references and landed types"),
         ("metrics", "write the metrics document"),
         ("statements", "write the statements per period"),
     ):
@@ -47,7 +49,11 @@ def _options() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
-    chosen = _options().parse_args(arguments)
+    with scratch_scope(spark):
+        _run(spark, _options().parse_args(arguments))
+
+
+def _run(spark: SparkSession, chosen: argparse.Namespace) -> None:
     if chosen.job == "land":
         jobs.land_raw(spark, {t: f"{chosen.extracts}/{t}.csv" for t in chosen.tables}, chosen.raw)
     elif chosen.job == "load":
@@ -56,6 +62,8 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         jobs.extend_mart(spark, chosen.raw, chosen.mart)
     elif chosen.job == "prep":
         jobs.run_prep(spark, chosen.adjustments, chosen.funds, chosen.out).show(truncate=False)
+    elif chosen.job == "expect":
+        jobs.check_keys(spark, chosen.raw, chosen.mart).coalesce(1).write.mode("append").parquet(chosen.out)
     else:
         books = jobs.books_of(spark, chosen.raw, chosen.mart)
         report = {"grade": jobs.log_quality, "metrics": jobs.write_metrics, "statements": jobs.write_statements}

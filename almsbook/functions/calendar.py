@@ -38,7 +38,12 @@ def fiscal_month_label(month: Column) -> Column:
 
 
 def with_fiscal_period(df: DataFrame, day: str) -> DataFrame:
-    """Add fiscal_year and fiscal_month; rows without a date belong to no period and drop out."""
+    """Add fiscal_year and fiscal_month; rows without a date belong to no period and drop out.
+
+    A frame that has both already, such as sums per period, keeps them.
+    """
+    if {"fiscal_year", "fiscal_month"} <= set(df.columns):
+        return df.where(F.col("fiscal_year").isNotNull())
     return df.where(F.col(day).isNotNull()).withColumns(
         {"fiscal_year": fiscal_year(F.col(day)), "fiscal_month": fiscal_month(F.col(day))}
     )

@@ -1,8 +1,12 @@
 """Dedupe, upsert and insert-if-absent as full rewrites of a table."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from almsbook.sources.storage import materialize
+
 
 def first_per_group(df: DataFrame, group: list[Column], order: list[str]) -> DataFrame:
     """One whole row per group: the least by ``order`` (NULLs last), ties broken by the other columns.
@@ -23,10 +27,29 @@ def first_per_group(df: DataFrame, group: list[Column], order: list[str]) -> Dat
 def absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """One row of ``batch`` for each key that ``target`` lacks.
 
-    Both join inputs hold a key once, so the anti-join cannot skew; the target shuffles its keys only.
+    Keys alone are shuffled: one grouped sum over both sides tells which keys of the batch are known or
+    come more than once. These are written, so Spark knows their size and broadcasts them if they are
+    few. All other rows pass without being moved, and only those of repeated keys go through the choice
+    of the least row. A key without a value counts as one key, as in a grouping.
     """
-    fresh = first_per_group(batch.select(target.columns), [F.col(k) for k in keys], keys)
-    return fresh.join(target.select(keys), keys, "left_anti").select(target.columns)
+    rows = batch.select(target.columns)
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    sides = rows.select(*[F.col(k).alias(n) for k, n in names.items()], F.lit(1).alias("_n"), F.lit(False).alias("_known"))
+    sides = sides.unionByName(
+        target.select(*[F.col(k).alias(n) for k, n in names.items()], F.lit(0).alias("_n"), F.lit(True).alias("_known"))
+    )
+    settled = sides.groupBy(*names.values()).agg(F.sum("_n").alias("_n"), F.max("_known").alias("_known"))
+    special = materialize(settled.where("_n > 1 OR (_known AND _n > 0)"), "special-keys")
+
+    def same(other: DataFrame) -> Column:
+        return reduce(Column.__and__, [rows[k].eqNullSafe(other[n]) for k, n in names.items()])
+
+    plain = rows.join(special, same(special), "left_anti")
+    twice = special.where("_n > 1 AND NOT _known")
+    if not twice.take(1):
+        return plain
+    repeated = rows.join(twice, same(twice), "left_semi")
+    return plain.unionByName(first_per_group(repeated, [F.col(k) for k in keys], keys))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,14 +1,20 @@
 """Date spine and date dimension."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almsbook.functions.calendar import FISCAL_START_MONTH, date_key, fiscal_month, fiscal_year
 
 
-def fiscal_window(df: DataFrame, day: str) -> DataFrame:
-    """One row (lo, hi): the whole fiscal years that the dates of ``df`` fall in."""
-    ends = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+def fiscal_window(*dates: tuple[DataFrame, str]) -> DataFrame:
+    """One row (lo, hi): the whole fiscal years that the dates of all given (frame, column) pairs fall in.
+
+    Each frame shrinks to its first and last day before they meet.
+    """
+    each = [df.agg(F.min(day).alias("first"), F.max(day).alias("last")) for df, day in dates]
+    ends = reduce(DataFrame.unionByName, each).agg(F.min("first").alias("first"), F.max("last").alias("last"))
     start = F.lit(FISCAL_START_MONTH)
     return ends.select(
         F.make_date(fiscal_year(F.col("first")) - 1, start, F.lit(1)).alias("lo"),

@@ -13,11 +13,12 @@ from almsbook.plans import donors, overview, quality, reconciliation
 
 @dataclass
 class Books:
-    """Frames that the sections share. ``gifts`` holds the gifts of known funds only."""
+    """Frames that the sections share. ``gifts`` holds the gifts of known funds only, ``giving`` their sums."""
 
     contacts: DataFrame
     raw_gifts: DataFrame
     gifts: DataFrame
+    giving: DataFrame
     pledges: DataFrame
     ledger: DataFrame
     funds: DataFrame
@@ -27,7 +28,7 @@ class Books:
 
 
 def sections(books: Books) -> dict[str, DataFrame]:
-    current = donors.latest_fiscal_year(books.gifts)
+    current = donors.latest_fiscal_year(books.giving)
     segments = books.scores.select(
         "donor_id",
         donors.segment_of(F.col("first_fy"), F.col("last_fy"), current).alias("segment"),
@@ -38,15 +39,15 @@ def sections(books: Books) -> dict[str, DataFrame]:
         books.raw_gifts, books.gifts, books.pledges, books.ledger, books.funds, books.recon
     )
     return {
-        "executive_kpis": overview.executive_kpis(books.gifts, books.campaigns),
-        "monthly_trend": overview.monthly_trend(books.gifts),
-        "top_funds": overview.top_funds(books.gifts, books.funds),
-        "gift_type_mix": overview.gift_type_mix(books.gifts),
+        "executive_kpis": overview.executive_kpis(books.giving, books.campaigns),
+        "monthly_trend": overview.monthly_trend(books.giving),
+        "top_funds": overview.top_funds(books.giving, books.funds),
+        "gift_type_mix": overview.gift_type_mix(books.giving),
         "segment_counts": donors.segment_counts(segments),
         "revenue_at_risk": donors.revenue_at_risk(segments).select(whole(F.col("amount")).alias("amount")),
-        "retention_by_fy": donors.retention_by_fy(books.gifts),
+        "retention_by_fy": donors.retention_by_fy(books.giving),
         "top_donors": donors.top_donors(books.scores, books.contacts, current),
-        "fund_segment_matrix": donors.fund_segment_matrix(books.gifts, books.funds, current),
+        "fund_segment_matrix": donors.fund_segment_matrix(books.giving, books.funds, current),
         "recon_status_counts": reconciliation.recon_status_counts(books.recon),
         "variance_by_fund": reconciliation.variance_by_fund(books.recon, books.funds),
         "flagged_variances": reconciliation.flagged_variances(books.recon, books.funds),

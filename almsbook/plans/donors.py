@@ -14,6 +14,8 @@ SEGMENTS = ["Active", "Lapsed", "Lapsing", "New"]
 
 def newest_fiscal_year(gifts: DataFrame) -> DataFrame:
     """The fiscal year of the newest gift as a one-row frame."""
+    if "fiscal_year" in gifts.columns:
+        return gifts.agg(F.max("fiscal_year").alias("fiscal_year"))
     return gifts.agg(F.max("gift_date").alias("day")).select(fiscal_year(F.col("day")).alias("fiscal_year"))
 
 
@@ -22,12 +24,6 @@ def latest_fiscal_year(gifts: DataFrame) -> Column:
     return newest_fiscal_year(gifts).scalar()
 
 
-def _year(gifts: DataFrame, current_fy: int | Column | None) -> Column:
-    if current_fy is None:
-        return latest_fiscal_year(gifts)
-    return current_fy if isinstance(current_fy, Column) else F.lit(current_fy)
-
-
 def by_survivor(gifts: DataFrame, survivors: DataFrame) -> DataFrame:
     """The gifts under the id that survives the donor dedupe, for figures per person instead of per record."""
     moved = survivors.where(F.col("survivor_id") != F.col("donor_id"))
@@ -42,15 +38,30 @@ def donor_fy(gifts: DataFrame) -> DataFrame:
 
 
 def donor_summary(gifts: DataFrame) -> DataFrame:
-    """One row per donor; frequency counts the fiscal years with a gift."""
-    return donor_fy(gifts).groupBy("donor_id").agg(
+    """One row per donor; frequency counts the fiscal years with a gift.
+
+    One shuffle: the set of years has an entry per fiscal year at most, however many gifts there are.
+    """
+    return with_fiscal_period(gifts, "gift_date").groupBy("donor_id").agg(
         F.max("fiscal_year").alias("last_fy"),
         F.min("fiscal_year").alias("first_fy"),
-        F.count("*").alias("frequency"),
-        money(F.sum("fy_total")).alias("lifetime"),
+        F.size(F.collect_set("fiscal_year")).cast("bigint").alias("frequency"),
+        money(F.sum("gift_amount")).alias("lifetime"),
     )
 
 
+def _placed(rows: DataFrame, name: str, current_fy: int | Column | None) -> tuple[DataFrame, Column]:
+    """``rows``, which have a ``last_fy``, and the year to judge them by.
+
+    Without a given year it is the newest one in ``rows``. They are written then, so that both come from
+    one pass over the gifts.
+    """
+    if current_fy is None:
+        rows = materialize(rows, name)
+        return rows, rows.agg(F.max("last_fy")).scalar()
+    return rows, current_fy if isinstance(current_fy, Column) else F.lit(current_fy)
+
+
 def segment_of(first_fy: Column, last_fy: Column, current_fy: Column) -> Column:
     """New, active, lapsing, else lapsed — so a donor seen only after ``current_fy`` is lapsed."""
     return (
@@ -62,8 +73,9 @@ def segment_of(first_fy: Column, last_fy: Column, current_fy: Column) -> Column:
 
 
 def donor_segments(gifts: DataFrame, current_fy: int | Column | None = None) -> DataFrame:
-    segment = segment_of(F.col("first_fy"), F.col("last_fy"), _year(gifts, current_fy))
-    return donor_summary(gifts).select(
+    summary, year = _placed(donor_summary(gifts), "donor-summary", current_fy)
+    segment = segment_of(F.col("first_fy"), F.col("last_fy"), year)
+    return summary.select(
         "donor_id",
         segment.alias("segment"),
         F.col("last_fy").alias("last_gift_fy"),
@@ -73,11 +85,15 @@ def donor_segments(gifts: DataFrame, current_fy: int | Column | None = None) ->
 
 def register_segment_function(gifts: DataFrame, name: str = "donor_segments_of") -> None:
     """Offer the segmentation to SQL as a table function of the fiscal year."""
-    spark = gifts.sparkSession
-    donor_summary(gifts).createOrReplaceTempView(f"{name}_donors")
+    register_segments_of_summary(donor_summary(gifts), gifts.schema["donor_id"].dataType.simpleString(), name)
+
+
+def register_segments_of_summary(summary: DataFrame, id_type: str, name: str = "donor_segments_of") -> None:
+    spark = summary.sparkSession
+    summary.createOrReplaceTempView(f"{name}_donors")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(current_fy INT)
-        RETURNS TABLE (donor_id {gifts.schema['donor_id'].dataType.simpleString()}, segment STRING,
+        RETURNS TABLE (donor_id {id_type}, segment STRING,
                        last_gift_fy INT, lifetime_giving {MONEY})
         RETURN SELECT donor_id,
                       CASE WHEN first_fy = current_fy THEN 'New'
@@ -149,8 +165,9 @@ def fund_segment_matrix(gifts: DataFrame, funds: DataFrame, current_fy: int | Co
             F.max("fiscal_year").alias("last_fy"),
         )
     )
+    giving, year = _placed(giving, "donor-funds", current_fy)
     donor = Window.partitionBy("donor_id")
-    segment = segment_of(F.min("first_fy").over(donor), F.max("last_fy").over(donor), _year(gifts, current_fy))
+    segment = segment_of(F.min("first_fy").over(donor), F.max("last_fy").over(donor), year)
     by_fund = giving.select("fund_id", "amount", segment.alias("segment")).groupBy("fund_id").agg(
         *[F.sum(F.when(F.col("segment") == name, F.col("amount"))).alias(name) for name in SEGMENTS]
     )
@@ -194,3 +211,10 @@ def top_donors(scores: DataFrame, contacts: DataFrame, current_fy: Column | int,
         segment_of(F.col("first_fy"), F.col("last_fy"), year).alias("segment"),
         "lifetime", "rfm_score",
     )
+
+
+def giving(gifts: DataFrame) -> DataFrame:
+    """The gifts summed per donor, fund, type and fiscal month, with their number: what every report on gifts can start from."""
+    return with_fiscal_period(gifts, "gift_date").groupBy("donor_id", "fund_id", "gift_type", "fiscal_year", "fiscal_month").agg(
+        money(F.sum("gift_amount")).alias("gift_amount"), F.count("*").alias("n_gifts")
+    )

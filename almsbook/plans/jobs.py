@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from almsbook.operators.merging import absent
 from almsbook.plans import calendar, document, donors, mart, prep, quality, reconciliation, staging, statement
-from almsbook.schemas import ADJUSTMENTS, FUNDS
+from almsbook.schemas import ADJUSTMENTS, FUNDS, RAW
 from almsbook.sources.files import contract, scan_csv, write_csv
-from almsbook.sources.landing import land_csv, read_raw
+from almsbook.sources.landing import land_csv, misfits, read_raw
 from almsbook.sources.storage import materialize
 
 
@@ -30,7 +30,8 @@ def mart_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
 
     gifts = staging.stg_gifts(raw("gifts"), raw("funds"))
     return {
-        "dim_date": calendar.dim_date(calendar.date_spine(calendar.fiscal_window(raw("gifts"), "gift_date"))),
+        "dim_date": calendar.dim_date(calendar.date_spine(calendar.fiscal_window(
+            (raw("gifts"), "gift_date"), (raw("pledges"), "pledge_date"), (raw("ledger"), "transaction_date")))),
         "dim_donor": mart.dim_donor_public(staging.stg_donors(raw("contacts"))),
         "dim_fund": mart.dim_fund(raw("funds")),
         "dim_campaign": mart.dim_campaign(raw("campaigns")),
@@ -48,8 +49,8 @@ def load_mart(spark: SparkSession, raw_dir: str, mart_dir: str, loaded_dir: str
     Tables are rewritten into a fresh folder, so readers of the old version are not disturbed.
     """
     for table, batch in mart_tables(spark, raw_dir).items():
-        loaded = spark.read.parquet(f"{loaded_dir}/{table}") if loaded_dir else None
-        mart.load(table, batch, loaded).write.parquet(f"{mart_dir}/{table}")
+        loaded = mart.stored(spark, table, f"{loaded_dir}/{table}") if loaded_dir else None
+        mart.store(table, mart.load(table, batch, loaded), f"{mart_dir}/{table}")
 
 
 def extend_mart(spark: SparkSession, raw_dir: str, mart_dir: str) -> None:
@@ -60,12 +61,22 @@ def extend_mart(spark: SparkSession, raw_dir: str, mart_dir: str) -> None:
     """
     for table, batch in mart_tables(spark, raw_dir).items():
         path = f"{mart_dir}/{table}"
-        loaded = spark.read.parquet(path)
+        loaded = mart.stored(spark, table, path)
         if table == "dim_donor":
             # Written aside first: a table cannot be overwritten while it is read.
             materialize(mart.load(table, batch, loaded), table).write.mode("overwrite").parquet(path)
         else:
-            absent(loaded, batch, mart.KEYS[table]).write.mode("append").parquet(path)
+            mart.store(table, absent(loaded, batch, mart.KEYS[table]), path, "append")
+
+
+def check_keys(spark: SparkSession, raw_dir: str, mart_dir: str) -> DataFrame:
+    """Keys and references of a loaded mart, and landed rows that did not fit their types."""
+    tables = {name: spark.read.parquet(f"{mart_dir}/{name}") for name in mart.KEYS}
+    tables["contacts"] = read_raw(spark, "contacts", raw_dir)
+    landed = [table for table in RAW if table != "adjustments"]
+    return quality.key_expectations(tables, mart.KEYS).unionByName(
+        quality.fitting_expectations(misfits(spark, raw_dir, landed))
+    )
 
 
 def books_of(spark: SparkSession, raw_dir: str, mart_dir: str) -> document.Books:
@@ -76,17 +87,20 @@ def books_of(spark: SparkSession, raw_dir: str, mart_dir: str) -> document.Books
 
     gifts = mart.gifts_of(table("fact_gifts"))
     ledger = mart.ledger_of(table("fact_gl"))
-    recon = reconciliation.fund_reconciliation(gifts, ledger, table("dim_account"))
+    giving = materialize(donors.giving(gifts), "giving")
+    recon = reconciliation.fund_reconciliation(giving, ledger, table("dim_account"))
     return document.Books(
-        contacts=table("dim_donor"),
+        # Gifts keep the id of the record they came with, so names come from all records.
+        contacts=read_raw(spark, "contacts", raw_dir),
         raw_gifts=read_raw(spark, "gifts", raw_dir),
         gifts=gifts,
+        giving=giving,
         pledges=table("fact_pledges"),
         ledger=ledger,
         funds=table("dim_fund"),
         campaigns=table("dim_campaign"),
         recon=materialize(recon, "recon"),
-        scores=materialize(donors.rfm_scores(donors.donor_summary(gifts)), "scores"),
+        scores=materialize(donors.rfm_scores(donors.donor_summary(giving)), "scores"),
     )
 
 
@@ -121,9 +135,13 @@ def log_quality(books: document.Books, log_dir: str, run_id: str | None = None)
     results = quality.dq_results(
         books.raw_gifts, books.gifts, books.pledges, books.ledger, books.funds, books.recon
     )
+    append_quality(results, log_dir, run)
+    return run
+
+
+def append_quality(results: DataFrame, log_dir: str, run: str) -> None:
     stamped = results.withColumns({"run_id": F.lit(run), "run_at": F.current_timestamp()})
     stamped.coalesce(1).write.mode("append").parquet(log_dir)
-    return run
 
 
 def write_metrics(books: document.Books, out_dir: str) -> None:
@@ -138,7 +156,11 @@ def write_metrics(books: document.Books, out_dir: str) -> None:
 def write_statements(books: document.Books, out_dir: str, top_n: int | None = 15) -> None:
     """Header and rows of every statement, one folder per period."""
     flagged = materialize(reconciliation.flagged_variances(books.recon, books.funds, top_n), "flagged")
-    header = statement.statement_header(statement.statement_periods(flagged, books.gifts), flagged)
+    write_statement_files(flagged, statement.statement_periods(flagged, books.giving), out_dir)
+
+
+def write_statement_files(flagged: DataFrame, periods: DataFrame, out_dir: str) -> None:
+    header = statement.statement_header(periods, flagged)
     for name, part in (("header", header), ("rows", statement.statement_rows(flagged))):
         part.write.mode("overwrite").partitionBy(*statement.PERIOD).parquet(f"{out_dir}/{name}")
 
@@ -147,7 +169,11 @@ def run_prep(spark: SparkSession, adjustments_csv: str, funds_csv: str, out_dir:
     """Clean the manual adjustments into a valid and an error file; returns the error breakdown."""
     adjustments = contract(scan_csv(spark, adjustments_csv, ADJUSTMENTS), ADJUSTMENTS)
     funds = contract(scan_csv(spark, funds_csv, FUNDS), FUNDS)
-    joined = prep.prep_joined(adjustments, funds).persist()
+    return write_prep(prep.prep_joined(adjustments, funds), out_dir)
+
+
+def write_prep(joined: DataFrame, out_dir: str) -> DataFrame:
+    joined = joined.persist()
     errors = prep.prep_errors(joined)
     write_csv(prep.prep_valid(joined), f"{out_dir}/clean_donor_adjustments")
     write_csv(errors, f"{out_dir}/errors_log")

@@ -1,8 +1,6 @@
-"""Double-entry posting of gifts: debit cash, credit contribution revenue."""
+"""Double-entry posting of gifts: debit cash, credit contribution revenue; and what the ledger shows instead."""
 
-from datetime import date
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almsbook.functions.money import money
@@ -25,39 +23,27 @@ def expected_revenue_account(gifts: DataFrame, funds: DataFrame) -> DataFrame:
     return _with_revenue_account(gifts, funds).select("gift_id", F.col("revenue_account").alias("account_number"))
 
 
-def posting_date(gift_date: Column, lag_days: Column, window_end: date | Column) -> Column:
-    """Gift date plus lag, never after the end of the books."""
-    return F.least(F.date_add(gift_date, lag_days), F.lit(window_end))
-
-
-def journal_lines(
-    gifts: DataFrame, funds: DataFrame, lag_days: Column, subsidiary: Column, window_end: date | Column
-) -> DataFrame:
-    """Two lines per gift. ``lag_days`` and ``subsidiary`` are expressions over the gift's columns."""
-    amount, nothing = F.col("gift_amount"), money(F.lit(0))
+def journal_exceptions(gifts: DataFrame, funds: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Ledger lines that differ from what their gift should have posted, with what was expected.
 
-    def line(number: int, account: Column, debit: Column, credit: Column) -> Column:
-        return F.struct(
-            F.lit(number).alias("line_no"),
-            account.alias("account_number"),
-            debit.alias("debit_amount"),
-            credit.alias("credit_amount"),
-        )
-
-    lines = F.array(
-        line(1, F.lit(CASH), amount, nothing),
-        line(2, F.col("revenue_account"), nothing, amount),
-    )
-    posted = _with_revenue_account(gifts, funds).select(
-        F.col("gift_id").alias("transaction_id"),
-        posting_date(F.col("gift_date"), lag_days, window_end).alias("transaction_date"),
-        "fund_id",
-        subsidiary.alias("subsidiary_id"),
-        F.concat(F.lit("Gift receipt "), F.col("gift_id").cast("string")).alias("memo"),
-        F.col("gift_id").alias("source_gift_id"),
-        F.inline(lines),
+    A gift is a debit of cash and a credit of contribution revenue, both of its amount, in its fund, on its
+    day or later. Lines that name no gift of the books are left to the reconciliation.
+    """
+    expected = _with_revenue_account(gifts, funds).select(
+        F.col("gift_id").alias("source_gift_id"), F.col("fund_id").alias("expected_fund"), "revenue_account", "gift_date", "gift_amount"
     )
-    return posted.select(
-        "transaction_id", "line_no", "transaction_date", "account_number", "fund_id", "subsidiary_id",
-        "debit_amount", "credit_amount", "memo", "source_gift_id",
+    nothing = money(F.lit(0))
+    debit, credit = F.coalesce("debit_amount", nothing), F.coalesce("credit_amount", nothing)
+    account = F.when(F.col("line_no") == 1, CASH).otherwise(F.col("revenue_account"))
+    amount = F.when(F.col("line_no") == 1, debit - credit).otherwise(credit - debit)
+    problems = F.array_compact(F.array(
+        F.when(~F.col("account_number").eqNullSafe(account), "account"),
+        F.when(~F.col("fund_id").eqNullSafe(F.col("expected_fund")), "fund"),
+        F.when(amount != F.col("gift_amount"), "amount"),
+        F.when(F.col("transaction_date") < F.col("gift_date"), "date"),
+    ))
+    judged = ledger.join(expected, "source_gift_id").select(
+        "transaction_id", "line_no", "account_number", account.alias("expected_account"), "fund_id", "expected_fund",
+        money(amount - F.col("gift_amount")).alias("amount_off"), F.array_join(problems, ", ").alias("problems"),
     )
+    return judged.where(F.col("problems") != "")

@@ -1,9 +1,9 @@
 """Star schema: the row shape of each table, and loading it without touching loaded keys."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almsbook.functions.calendar import date_key, key_date, with_fiscal_period
+from almsbook.functions.calendar import date_key, fiscal_month, fiscal_year, key_date, with_fiscal_period
 from almsbook.functions.money import money
 from almsbook.operators.merging import insert_if_absent, upsert
 
@@ -74,13 +74,36 @@ def load(table: str, batch: DataFrame, loaded: DataFrame | None = None) -> DataF
     return insert_if_absent(target, batch, KEYS[table])
 
 
+def store(table: str, rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write a mart table; facts lie in a folder per fiscal year, so that a period reads its years only.
+
+    Rebalancing gathers the rows of a year into files of a good size and splits a large year.
+    """
+    if not table.startswith("fact_"):
+        rows.write.mode(mode).parquet(path)
+        return
+    dated = rows.withColumn("fiscal_year", fiscal_year(key_date(F.col("date_id"))))
+    dated.hint("rebalance", "fiscal_year").write.mode(mode).partitionBy("fiscal_year").parquet(path)
+
+
+def stored(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """A mart table with its contract columns only."""
+    return spark.read.parquet(path).drop("fiscal_year") if table.startswith("fact_") else spark.read.parquet(path)
+
+
+def _with_date(fact: DataFrame, day: str) -> DataFrame:
+    """The fact with its date restored; one stored by fiscal year keeps that and gets the month."""
+    dated = fact.withColumn(day, key_date(F.col("date_id")))
+    return dated.withColumn("fiscal_month", fiscal_month(F.col(day))) if "fiscal_year" in fact.columns else dated
+
+
 def gifts_of(fact: DataFrame) -> DataFrame:
-    """The gift fact with its date restored, as the analyses take it."""
-    return fact.withColumn("gift_date", key_date(F.col("date_id")))
+    """The gift fact as the analyses take it."""
+    return _with_date(fact, "gift_date")
 
 
 def ledger_of(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("transaction_date", key_date(F.col("date_id")))
+    return _with_date(fact, "transaction_date")
 
 
 def gifts_by_fiscal_month_dimjoin(fact: DataFrame, dates: DataFrame) -> DataFrame:

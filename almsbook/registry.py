@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almsbook import schemas
-from almsbook.plans import calendar, document, donors, journal, mart, overview, prep, quality, reconciliation
+from almsbook.plans import calendar, document, donors, jobs, journal, mart, overview, prep, quality, reconciliation
 from almsbook.plans import staging, statement
 from almsbook.operators import merging
 from almsbook.session import tuned
 from almsbook.sources import crm, files, landing
 from almsbook.sources.storage import materialize, scratch_path
-from almsbook.testbed import MISSING_BATCH, WINDOW_END, Testbed
+from almsbook.testbed import BOOKS, MISSING_BATCH, Testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,7 +152,9 @@ def pledges_overpaid(t):
 
 @query
 def date_spine(t):
-    return calendar.date_spine(calendar.fiscal_window(t.raw_gifts, "gift_date"))
+    return calendar.date_spine(calendar.fiscal_window(
+        (t.raw_gifts, "gift_date"), (t.raw_pledges, "pledge_date"), (t.raw_ledger, "transaction_date")
+    ))
 
 
 @query
@@ -245,9 +247,9 @@ def donor_segments(t):
 
 @query
 def donor_segments_tvf(t):
-    gifts = _gifts(t)
-    donors.register_segment_function(gifts)
-    return donors.segmented(t.spark, donors.newest_fiscal_year(gifts))
+    summary = materialize(donor_summary(t), "donor-summary")
+    donors.register_segments_of_summary(summary, summary.schema["donor_id"].dataType.simpleString())
+    return donors.segmented(t.spark, summary.agg(F.max("last_fy").alias("fiscal_year")))
 
 
 @query
@@ -281,7 +283,8 @@ def rfm_scores(t):
 
 @query
 def top_donors(t):
-    return donors.top_donors(_scores(t), t.contacts, donors.latest_fiscal_year(_gifts(t)))
+    scores = _scores(t)
+    return donors.top_donors(scores, t.contacts, scores.agg(F.max("last_fy")).scalar())
 
 
 # Headline figures
@@ -329,19 +332,27 @@ def dq_severity_failures(t):
 
 @query
 def expectations(t):
-    """Bounds come from the ids that the test books spoil on purpose."""
-    spoiled_fund = F.col("fund_id").isNull() | (F.col("fund_id") == 8)
-    spoiled_credit = (F.col("line_no") == 2) & (
-        (F.col("source_gift_id") % 700 == 0) | (F.col("source_gift_id") % 300 == 0)
-    )
-    return quality.expectations(
-        t.raw_gifts, t.funds, t.raw_ledger, t.raw_pledges,
-        orphans_expected=t.raw_gifts.agg(F.count_if(spoiled_fund)).scalar(),
-        max_unbalanced=t.raw_ledger.agg(F.count_if(spoiled_credit)).scalar(),
-        overpaid_below=t.raw_pledges.agg(F.floor(F.count("*") / 20)).scalar(),
-        first_day=F.lit("1995-01-01").cast("date"),
-        last_day=F.lit(WINDOW_END).cast("date"),
-    )
+    first_day, last_day = (F.lit(day).cast("date") for day in BOOKS)
+    return quality.expectations(t.raw_gifts, t.funds, t.raw_ledger, t.raw_pledges, first_day, last_day)
+
+
+@query
+def key_expectations(t):
+    tables = {
+        "dim_date": calendar.dim_date(date_spine(t)), "dim_donor": _donors(t), "dim_fund": t.funds, "dim_campaign": t.campaigns,
+        "dim_account": t.accounts, "dim_subsidiary": t.subsidiaries, "fact_gifts": mart.fact_gifts(_gifts(t)),
+        "fact_pledges": mart.fact_pledges(_pledges(t)), "fact_gl": mart.fact_gl(_ledger(t)), "contacts": t.contacts,
+    }
+    return quality.key_expectations(tables, mart.KEYS)
+
+
+@query
+def dq_log(t):
+    """Two runs appended to one log and read back, without the time of the run."""
+    path = scratch_path(t.spark, "dq-log")
+    for run in ("first", "second"):
+        jobs.append_quality(dq_results(t), path, run)
+    return t.spark.read.parquet(path).drop("run_at")
 
 
 # Manual adjustments
@@ -362,6 +373,18 @@ def prep_errors(t):
     return prep.prep_errors(prep_joined(t))
 
 
+@query
+def prep_files(t):
+    """Both CSV files of the prep flow, read back under their side."""
+    path = scratch_path(t.spark, "prep")
+    jobs.write_prep(prep_joined(t), path)
+    sides = []
+    for name, fields in (("clean_donor_adjustments", schemas.PREPARED), ("errors_log", schemas.REJECTED)):
+        side = files.scan_csv(t.spark, f"{path}/{name}", fields).drop(files.CORRUPT)
+        sides.append(side.withColumn("file", F.lit(name)))
+    return sides[0].unionByName(sides[1], allowMissingColumns=True)
+
+
 @query
 def prep_error_breakdown(t):
     return prep.prep_error_breakdown(prep_errors(t))
@@ -391,6 +414,18 @@ def statement_rows(t):
     return statement.statement_rows(flagged_variances(t))
 
 
+@query
+def statement_files(t):
+    """Header and rows of the statements, written by period and read back."""
+    path = scratch_path(t.spark, "statements")
+    flagged = _flagged(t)
+    jobs.write_statement_files(flagged, statement.statement_periods(flagged, _gifts(t)), path)
+    header, body = (t.spark.read.parquet(f"{path}/{part}") for part in ("header", "rows"))
+    return header.join(body, statement.PERIOD, "left").select(
+        *statement.PERIOD, "report_id", "period_label", "n_flagged", "fund", "gifts_label", "gl_label", "variance_signed", "status"
+    )
+
+
 # Journal
 
 
@@ -400,14 +435,8 @@ def expected_revenue_account(t):
 
 
 @query
-def journal_lines(t):
-    spread = F.col("gift_id") % 100
-    lag = (
-        F.when(spread < 40, 0).when(spread < 65, 1).when(spread < 80, 2).when(spread < 90, 3)
-        .when(spread < 97, 5).otherwise(20)
-    )
-    subsidiary = F.when(F.col("gift_id") % 25 < 2, "SUB-02").otherwise("SUB-01")
-    return journal.journal_lines(t.raw_gifts, t.funds, lag, subsidiary, F.lit(WINDOW_END).cast("date"))
+def journal_exceptions(t):
+    return journal.journal_exceptions(t.raw_gifts, t.funds, t.raw_ledger)
 
 
 # Files that are written to the shared scratch folder and read back
@@ -468,13 +497,14 @@ def crm_campaigns(t):
 
 @query
 def metrics_document(t):
-    # Most sections read the gifts, so those are written once, as loading the mart would.
-    gifts, ledger = materialize(_gifts(t), "gifts"), _ledger(t)
+    # What the sections on gifts start from is summed and written once; no section reads the gifts again.
+    gifts, ledger = _gifts(t), _ledger(t)
+    giving = materialize(donors.giving(gifts), "giving")
     books = document.Books(
-        contacts=t.contacts, raw_gifts=t.raw_gifts, gifts=gifts, pledges=t.raw_pledges, ledger=ledger,
+        contacts=t.contacts, raw_gifts=t.raw_gifts, gifts=gifts, giving=giving, pledges=t.raw_pledges, ledger=ledger,
         funds=t.funds, campaigns=t.campaigns,
-        recon=materialize(reconciliation.fund_reconciliation(gifts, ledger, t.accounts), "recon"),
-        scores=materialize(donors.rfm_scores(donors.donor_summary(gifts)), "scores"),
+        recon=materialize(reconciliation.fund_reconciliation(giving, ledger, t.accounts), "recon"),
+        scores=materialize(donors.rfm_scores(donors.donor_summary(giving)), "scores"),
     )
     parts = document.sections(books)
     path = scratch_path(t.spark, "metrics")

@@ -34,6 +34,10 @@ CAMPAIGNS = _schema(
 )
 ADJUSTMENTS = _schema("adjustment_id donor_name fund_id adjustment_amount reason", adjustment_amount=MONEY)
 
+# Columns of the two files that the preparation of adjustments writes.
+PREPARED = T.StructType([*ADJUSTMENTS, *_schema("fund_name fund_type restriction_type")])
+REJECTED = T.StructType([*PREPARED, *_schema("error_reason")])
+
 # Landed extracts by table name.
 RAW = {
     "contacts": CONTACTS,

@@ -13,6 +13,7 @@ SETTINGS = {
 
 
 def tuned(spark: SparkSession) -> SparkSession:
+    """Put the settings on the caller's own session, for good: plans are lazy and run after this returns."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark

@@ -7,22 +7,35 @@ from pyspark.sql.types import StringType, StructField, StructType
 CORRUPT = "_corrupt_record"
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Scan with a header and a declared schema; text that does not fit goes to ``_corrupt_record``.
+# A quote within a quoted value is doubled, as spreadsheets and databases write it.
+DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-    Padding stays in the values: trimming names is a decision of the cleaning step.
+
+def scan_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
+    """Scan with a declared schema, columns found by the names in the header.
+
+    The order of the columns is free, unknown ones are left out, a missing one is an error, and so is a
+    file with another header than the first. Text that does not fit goes to ``_corrupt_record``. Padding
+    stays in the values: trimming names is a decision of the cleaning step. Values may hold line breaks;
+    without ``multi_line`` they may not, and Spark can split a large file.
     """
-    kept = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    return spark.read.csv(
+    header = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, **DIALECT).columns
+    fields = {f.name: f for f in schema}
+    if missing := [name for name in fields if name not in header]:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    as_stored = [fields.get(name, StructField(name, StringType())) for name in header]
+    scanned = spark.read.csv(
         path,
-        schema=kept,
+        schema=StructType([*as_stored, StructField(CORRUPT, StringType())]),
         header=True,
+        enforceSchema=False,
+        multiLine=multi_line,
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT,
         dateFormat="yyyy-MM-dd",
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+        **DIALECT,
     )
+    return scanned.select(*schema.names, CORRUPT)
 
 
 def contract(df: DataFrame, schema: StructType) -> DataFrame:
@@ -31,7 +44,4 @@ def contract(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).csv(
-        path, header=True, dateFormat="yyyy-MM-dd",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
+    df.write.mode(mode).csv(path, header=True, dateFormat="yyyy-MM-dd", **DIALECT)

@@ -1,11 +1,28 @@
 """Shared scratch space for intermediate tables."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: str | None = None
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside once the block is left. What was written elsewhere stays."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -20,7 +37,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _local_base = _local_base or tempfile.mkdtemp(prefix="almsbook-")
         base = _local_base
-    return f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid4().hex}"
+    for made in _scopes:
+        made.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

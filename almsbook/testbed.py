@@ -9,13 +9,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# The chart of accounts, the posting lags and the injected defects of the test books.
+# The rules below are the test books' own; the chart of accounts alone holds fixed values of the contract.
 TEXTS = {
     "dim_fund": """
         SELECT n_nationkey AS fund_id, n_name AS fund_name, r_name AS fund_type,
-               CASE WHEN n_nationkey = 3 THEN 'Unrestricted' ELSE 'Restricted' END AS restriction_type
-        FROM {nation} JOIN {region} ON r_regionkey = n_regionkey
-        WHERE n_nationkey < 8""",
+               CASE WHEN n_regionkey = 0 THEN 'Unrestricted' ELSE 'Restricted' END AS restriction_type
+        FROM {nation} JOIN {region} ON r_regionkey = n_regionkey""",
     "dim_campaign": """
         SELECT r_regionkey AS campaign_id, r_name AS campaign_name,
                CAST(100000 * (r_regionkey + 1) AS DECIMAL(18,2)) AS goal_amount,
@@ -32,63 +31,64 @@ TEXTS = {
         ) AS t(account_number, account_name, account_type)
         UNION ALL
         SELECT '6-' || CAST(s_suppkey AS STRING), s_name, 'Expense' FROM {supplier}""",
-    # The two subsidiaries, and one per nation that suppliers sit in.
+    # The head office, one subsidiary for urgent gifts, and one per nation that suppliers sit in.
     "dim_subsidiary": """
-        SELECT * FROM (VALUES ('SUB-01','Main'), ('SUB-02','Real Estate Holdings')) AS t(subsidiary_id, subsidiary_name)
+        SELECT * FROM (VALUES ('SUB-01','Main'), ('SUB-02','Urgent appeals')) AS t(subsidiary_id, subsidiary_name)
         UNION ALL
         SELECT DISTINCT 'SUB-N' || CAST(n_nationkey AS STRING), n_name
         FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey""",
+    # Every 25th name is padded and in capitals; every 80th donor has a second record.
     "contacts": """
         SELECT c_custkey AS donor_id,
                CASE WHEN c_custkey % 25 = 0 THEN '  ' || upper(c_name || ' o''neil-' || c_mktsegment) || '  '
                     ELSE c_name || '  o''neil-' || lower(c_mktsegment) END AS donor_name,
-               CASE WHEN c_custkey % 20 < 15 THEN 'Individual' WHEN c_custkey % 20 < 18 THEN 'Organization'
-                    ELSE 'Foundation/Trust' END AS donor_type,
+               'Type ' || substr(c_mktsegment, 1, 1) AS donor_type,
                ' User' || CAST(c_custkey AS STRING) || '@Example.org ' AS email,
                CAST(DATE '1995-01-01' AS DATE) AS first_gift_date,
                substr(c_mktsegment, 1, 2) AS state
         FROM {customer}
         UNION ALL
-        SELECT c_custkey + 10000000, lower(c_name || ' o''neil-' || c_mktsegment), 'Individual',
+        SELECT c_custkey + 10000000, lower(c_name || ' o''neil-' || c_mktsegment), 'Type 2',
                ' User' || CAST(c_custkey AS STRING) || '@Example.org ', CAST(DATE '1995-01-01' AS DATE),
                substr(c_mktsegment, 1, 2)
         FROM {customer} WHERE c_custkey % 80 = 0""",
+    # Each order is a gift to the fund of the customer's nation; one in 331 has no fund, another one a fund that is gone.
     "gifts_raw": """
         SELECT o_orderkey AS gift_id, o_custkey AS donor_id,
-               CASE WHEN o_orderkey % 500 = 7 THEN NULL ELSE c_nationkey % 9 END AS fund_id,
+               CASE WHEN o_orderkey % 331 = 5 THEN NULL WHEN o_orderkey % 331 = 6 THEN 99 ELSE c_nationkey END AS fund_id,
                CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 5 END AS campaign_id,
                CAST(o_orderdate AS DATE) AS gift_date,
                CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.001 AS DECIMAL(18,2)) AS gift_amount,
                o_orderpriority AS gift_type
-        FROM {orders} JOIN {customer} ON c_custkey = o_custkey
-        WHERE CAST(o_orderdate AS DATE) < DATE '2001-07-01'""",
+        FROM {orders} JOIN {customer} ON c_custkey = o_custkey""",
+    # Every gift backs a pledge; what is paid follows the priority, and one in 331 is paid a dollar too much.
     "pledges_raw": """
         SELECT gift_id AS pledge_id, donor_id, fund_id, gift_date AS pledge_date, gift_amount AS pledged_amount,
-               CAST(gift_amount * CASE WHEN gift_id % 100 = 0 THEN 1.15 WHEN gift_id % 10 = 1 THEN 1.00 ELSE 0.55 END
-                    AS DECIMAL(18,2)) AS paid_amount
-        FROM {gifts_raw} WHERE gift_id % 4 = 0 OR gift_id % 10 = 1""",
+               CAST(CASE WHEN gift_id % 331 = 7 THEN gift_amount + 1.00 WHEN gift_type IN ('1-URGENT', '2-HIGH') THEN gift_amount
+                    WHEN gift_type = '3-MEDIUM' THEN gift_amount * 0.5 ELSE 0.00 END AS DECIMAL(18,2)) AS paid_amount
+        FROM {gifts_raw}""",
+    # Two lines per gift, posted within a week. Spoiled on purpose: a week that never arrived, lines on the
+    # wrong fund (one gift in 400) or account (one in 461), and credits one or two cents too high.
     "gl_export": """
-        SELECT gift_id AS transaction_id, line_no,
-               least(DATE '2001-06-30', gift_date + CAST(CASE WHEN gift_id % 100 < 40 THEN 0 WHEN gift_id % 100 < 65 THEN 1
-                     WHEN gift_id % 100 < 80 THEN 2 WHEN gift_id % 100 < 90 THEN 3 WHEN gift_id % 100 < 97 THEN 5
-                     ELSE 20 END AS INT)) AS transaction_date,
-               CASE WHEN line_no = 1 THEN '1000' WHEN fund_id = 3 THEN '4000' ELSE '4100' END AS account_number,
-               CASE WHEN line_no = 2 AND gift_id % 400 = 0 THEN (fund_id + 1) % 9 ELSE fund_id END AS fund_id,
-               CASE WHEN gift_id % 25 < 2 THEN 'SUB-02' ELSE 'SUB-01' END AS subsidiary_id,
-               CASE WHEN line_no = 1 THEN gift_amount ELSE NULL END AS debit_amount,
-               CASE WHEN line_no = 2 THEN CAST(gift_amount + CASE WHEN gift_id % 700 = 0 THEN 0.02
-                     WHEN gift_id % 300 = 0 THEN 0.01 ELSE 0.00 END AS DECIMAL(18,2)) ELSE NULL END AS credit_amount,
-               'Gift receipt ' || CAST(gift_id AS STRING) AS memo, gift_id AS source_gift_id
-        FROM {gifts_raw} {lines}
-        WHERE gift_date NOT BETWEEN DATE '1998-03-10' AND DATE '1998-03-16'""",
+        SELECT g.gift_id AS transaction_id, line_no, g.gift_date + CAST(g.gift_id % 7 AS INT) AS transaction_date,
+               CASE WHEN line_no = 1 THEN '1000' WHEN g.gift_id % 461 = 3 THEN '4200'
+                    WHEN f.restriction_type = 'Unrestricted' THEN '4000' ELSE '4100' END AS account_number,
+               CASE WHEN line_no = 2 AND g.gift_id % 400 = 0 THEN (g.fund_id + 1) % 25 ELSE g.fund_id END AS fund_id,
+               CASE WHEN g.gift_type = '1-URGENT' THEN 'SUB-02' ELSE 'SUB-01' END AS subsidiary_id,
+               CASE WHEN line_no = 1 THEN g.gift_amount ELSE NULL END AS debit_amount,
+               CASE WHEN line_no = 2 THEN CAST(g.gift_amount + CASE WHEN g.gift_id % 700 = 0 THEN 0.02
+                     WHEN g.gift_id % 300 = 0 THEN 0.01 ELSE 0.00 END AS DECIMAL(18,2)) ELSE NULL END AS credit_amount,
+               'Gift receipt ' || CAST(g.gift_id AS STRING) AS memo, g.gift_id AS source_gift_id
+        FROM {gifts_raw} g LEFT JOIN {dim_fund} f ON f.fund_id = g.fund_id {lines}
+        WHERE g.gift_date NOT BETWEEN DATE '1998-03-10' AND DATE '1998-03-16'""",
+    # Names padded and in capitals, or with quotes and a comma; small balances count as a missing amount.
     "adjustments": """
         SELECT c_custkey AS adjustment_id,
-               CASE WHEN c_custkey % 3 = 0 THEN '  ' || upper(c_name || ' mc-' || c_mktsegment) || '  '
-                    ELSE c_name || ' mc-' || c_mktsegment END AS donor_name,
-               c_nationkey % 9 AS fund_id,
-               CASE WHEN c_custkey % 12 = 0 THEN NULL ELSE CAST(c_acctbal AS DECIMAL(18,2)) END AS adjustment_amount,
-               CASE c_custkey % 4 WHEN 0 THEN 'Pledge write-off' WHEN 1 THEN 'Reclass' WHEN 2 THEN 'Refund'
-                    ELSE 'Correction' END AS reason
+               CASE c_custkey % 3 WHEN 0 THEN '  ' || upper(c_name || ' mc-' || c_mktsegment) || '  '
+                    WHEN 1 THEN c_name || ' "the ' || lower(c_mktsegment) || '", jr' ELSE c_name || ' mc-' || c_mktsegment END AS donor_name,
+               CASE WHEN c_custkey % 50 = 0 THEN 99 ELSE c_nationkey END AS fund_id,
+               CASE WHEN c_acctbal < 500 THEN NULL ELSE CAST(c_acctbal AS DECIMAL(18,2)) END AS adjustment_amount,
+               'review of ' || lower(c_mktsegment) AS reason
         FROM {customer}""",
     "dim_donor_existing": """
         SELECT c_custkey AS donor_id, 'STALE ' || c_name AS donor_name, 'Legacy' AS donor_type,
@@ -99,7 +99,8 @@ SPARK_LINES = "LATERAL VIEW explode(array(1, 2)) AS line_no"
 DUCKDB_LINES = "CROSS JOIN (VALUES (1), (2)) AS v(line_no)"
 
 MISSING_BATCH = ("1998-03-10", "1998-03-16")
-WINDOW_END = "2001-06-30"
+# The days that gifts may carry.
+BOOKS = ("1995-01-01", "2001-12-31")
 
 
 # Schemas of the tables read so far, so that a session opens the footers of a table once.
@@ -156,7 +157,7 @@ class Testbed:
 
     @cached_property
     def raw_ledger(self) -> DataFrame:
-        return self._frame("gl_export", gifts_raw=self.raw_gifts)
+        return self._frame("gl_export", gifts_raw=self.raw_gifts, dim_fund=self.funds)
 
     @cached_property
     def adjustments(self) -> DataFrame:
