@@ -25,8 +25,9 @@ def gl_side(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     sums = with_fiscal_period(ledger, "transaction_date").groupBy("account_number", *FUND_MONTH).agg(
         F.sum("credit_amount").alias("amount")
     )
-    income = accounts.where(F.col("account_type") == "Income").select("account_number")
-    return sums.join(income, "account_number", "left_semi").groupBy(*FUND_MONTH).agg(money(F.sum("amount")).alias("amount"))
+    # An inner join: Spark would move a semi-join below the sum again.
+    income = accounts.where(F.col("account_type") == "Income").select("account_number").distinct()
+    return sums.join(income, "account_number").groupBy(*FUND_MONTH).agg(money(F.sum("amount")).alias("amount"))
 
 
 def fund_reconciliation(

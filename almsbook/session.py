@@ -20,7 +20,7 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def local_session(
-    cpus: int | str = "*", memory: str = "8g", partitions: int = 8, shared_dir: str | None = None
+    cpus: int | str = "*", memory: str = "8g", partitions: int = 8, shared_dir: str | None = None, settings: dict[str, str] | None = None
 ) -> SparkSession:
     """A session for tests and the bench; on a cluster the caller brings its own."""
     builder = (
@@ -31,6 +31,8 @@ def local_session(
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     if shared_dir:
         builder = builder.config("spark.checkpoint.dir", shared_dir)
     spark = builder.getOrCreate()

@@ -1,14 +1,15 @@
 """The whole flow over files: land, load twice, grade, report."""
 
 import json
+import os
 from datetime import date
 
 import pytest
 
 from almsbook import schemas
-from almsbook.plans import document, jobs, mart, prep, reconciliation, staging
+from almsbook.plans import document, jobs, mart, overview, prep, reconciliation, staging
 from almsbook.sources import crm, files, landing
-from helpers import accounts, day, dec, funds, gifts, ledger, rows
+from helpers import accounts, day, dec, funds, gifts, ledger, plan_of, rows
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +84,61 @@ def test_mart_tables(spark, warehouse):
         assert "email" not in frame.columns
 
 
+def test_every_fact_has_a_calendar_row(spark, tmp_path):
+    """A gift of June is posted in July, and a pledge is older than all gifts."""
+    raw, store = f"{tmp_path}/raw", f"{tmp_path}/mart"
+    frames = {
+        "gifts": gifts(spark, ("g1", "d1", "A", "2024-06-28", "10.00")),
+        "ledger": ledger(spark, ("t1", 1, "2024-07-05", "1000", "A", "10.00", None, "g1"), ("t1", 2, "2024-07-05", "4000", "A", None, "10.00", "g1")),
+        "pledges": spark.createDataFrame([("p1", "d1", "A", day("2022-08-01"), dec("10.00"), dec("1.00"), "Active")], schemas.PLEDGES),
+        "contacts": spark.createDataFrame([("d1", "Ann", None, None, None, None)], schemas.CONTACTS),
+        "accounts": accounts(spark), "subsidiaries": spark.createDataFrame([("SUB-01", "Main")], schemas.SUBSIDIARIES),
+        "funds": funds(spark, "A"), "campaigns": spark.createDataFrame([], schemas.CAMPAIGNS),
+    }
+    for name, frame in frames.items():
+        landing.land(frame, f"{raw}/{name}")
+    jobs.load_mart(spark, raw, store)
+    assert spark.read.parquet(f"{store}/dim_date").count() == 365 * 2 + 366
+    rules = {r["name"]: r["observed"] for r in jobs.check_keys(spark, raw, store).collect()}
+    assert len(rules) == 18 + 8 and not any(rules.values())
+    assert spark.read.parquet(f"{store}/fact_gl").join(spark.read.parquet(f"{store}/dim_date"), "date_id").count() == 2
+
+
+def test_rows_that_do_not_fit_are_counted(spark, tmp_path):
+    (tmp_path / "funds.csv").write_text("fund_id,fund_name,fund_type,restriction_type\nA,B,C,D\n")
+    (tmp_path / "campaigns.csv").write_text("campaign_id,campaign_name,goal_amount,start_date,end_date\nc,D,ten,2024-01-01,\nd,E,5,2024-01-01,\n")
+    for name in ("funds", "campaigns"):
+        landing.land_csv(spark, name, str(tmp_path / f"{name}.csv"), f"{tmp_path}/raw")
+    assert rows(landing.misfits(spark, f"{tmp_path}/raw", ["funds", "campaigns"])) == [("campaigns", 1), ("funds", 0)]
+
+
+def test_the_best_donor_keeps_the_name_of_a_merged_record(spark, extracts, tmp_path):
+    raw, store = f"{tmp_path}/raw", f"{tmp_path}/mart"
+    jobs.land_raw(spark, extracts, raw)
+    landing.land(gifts(spark, ("g1", "d9", "A", "2024-07-05", "9000.00"), ("g2", "d2", "A", "2024-07-06", "1.00")), f"{raw}/gifts")
+    jobs.load_mart(spark, raw, store)
+    best = document.sections(jobs.books_of(spark, raw, store))["top_donors"].orderBy("rfm_score", ascending=False).first()
+    assert (best["donor_id"], best["donor_name"]) == ("d9", "ann lee")
+
+
+def test_a_period_reads_its_years_only(spark, warehouse):
+    fact = mart.gifts_of(spark.read.parquet(f"{warehouse}/mart/fact_gifts"))
+    assert {r[0] for r in fact.select("fiscal_year").distinct().collect()} == {2025, 2026}
+    plan = plan_of(overview.two_years(fact))
+    assert "PartitionFilters: [isnotnull(fiscal_year" in plan and ">= (Subquery" in plan
+
+
+def test_scratch_folders_go_with_their_job(spark, tmp_path):
+    from almsbook.sources.storage import materialize, scratch_scope
+
+    with scratch_scope(spark):
+        made = materialize(spark.range(3), "gone")
+        assert made.count() == 3
+        path = made.inputFiles()[0].removeprefix("file:")
+        assert os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
+
+
 def test_loading_again_adds_nothing(spark, warehouse):
     jobs.load_mart(spark, f"{warehouse}/raw", f"{warehouse}/mart2", loaded_dir=f"{warehouse}/mart")
     for name in mart.KEYS:
@@ -164,7 +220,8 @@ def test_nested_document(spark, books, tmp_path):
         "values": [[1000, 0, 251, 0], [2000, 0, 0, 75]],
     }
     assert second["retention_by_fy"] == [{"fiscal_year": 2026, "retention_rate": 50.0}]
-    assert [d["donor"] for d in second["top_donors"]] == ["Ann Lee", "Bo Ray", "Cy, Inc."]
+    # Names as the records carry them, of merged records too.
+    assert [d["donor"] for d in second["top_donors"]] == [" ANN  LEE ", "Bo Ray", "Cy, Inc."]
     assert third["status_counts"] == {"Needs Review": 1, "Reconciled": 3}
     assert third["flagged"] == [{
         "fund": "Fund B", "fiscal_year": 2026, "fiscal_month": 2, "gifts_recorded": 2000, "gl_posted": 0,

@@ -193,3 +193,14 @@ def test_tolerance_is_strict_and_ungraded_when_empty(spark):
     df = spark.createDataFrame([(1, 100), (0, 100), (0, 0)], "bad int, n int")
     got = [r[0] for r in df.select(within_tolerance(F.col("bad"), F.col("n"), Decimal("0.01"))).collect()]
     assert got == [False, True, None]
+
+
+def test_absent_with_a_hot_key(spark):
+    """One key holds a third of the batch, some keys are known, some are missing: as the least-row choice over all rows."""
+    data = [(7 if i % 3 == 0 else None if i % 50 == 1 else i, i, f"v{i % 4}") for i in range(600)]
+    batch = spark.createDataFrame(data, "k int, v int, w string")
+    target = spark.createDataFrame([(k, 0, "old") for k in (4, 5, 10, 1000)], "k int, v int, w string")
+    wanted = merging.first_per_group(batch, [F.col("k")], ["k"]).where("k is null or k not in (4, 5, 10, 1000)")
+    assert rows(merging.absent(target, batch, ["k"])) == rows(wanted)
+    assert rows(merging.absent(target.where("false"), batch, ["k"])) == rows(merging.first_per_group(batch, [F.col("k")], ["k"]))
+    assert merging.absent(batch, batch, ["k"]).count() == 0
