@@ -16,9 +16,12 @@ Defined results: a null text is an empty one and has only the end id; rows witho
 repeated rows are records each; an empty table gives no records; other columns are not looked at.
 """
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
 import public_tokenizers
@@ -87,48 +90,85 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
 class WordEncoder:
     """A tokenizer that drops white space and never joins words, one word at a time.
 
-    Ids of the first ``room`` different words are remembered; others are encoded once per call.
+    Ids of the first ``room`` different words are remembered; others are encoded once per call. New words
+    of letters go through the tokenizer many in one text, parted again where a token ends a word; a comma
+    or full stop after them is a token of its own. All other words are encoded one by one.
     """
 
-    def __init__(self, path: str, room: int = 400_000) -> None:
+    def __init__(self, path: str, room: int = 300_000) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer, self.room = Tokenizer.from_file(path), room
         self.known: dict[bytes, bytes] = {}
-        if self._ids(["a b\n c"])[0] != b"".join(self._ids(["a", "b", "c"])):
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.marks = dict(zip(b".,", self._ids([".", ","]), strict=True))
+        if self._ids(["a b\n c."])[0] != b"".join(self._ids(["a", "b", "c", "."])):
             raise ValueError("this tokenizer does not treat words by themselves")
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _words(self, words: list[bytes], most: int = 4000) -> dict[bytes, bytes]:
+        """Ids of words of letters."""
+        out: dict[bytes, bytes] = {}
+        for at in range(0, len(words), most):
+            part = words[at : at + most]
+            ids = np.frombuffer(self._ids([b" ".join(part).decode()])[0], "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(part):
+                cuts = [0, *(4 * ends).tolist()]
+                data = ids.tobytes()
+                out.update(zip(part, (data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)), strict=True))
+            else:
+                out.update(zip(part, self._ids([w.decode() for w in part]), strict=True))
+        return out
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text; a null text has none."""
-        split = []
+        split, missing = [], set()
         for text in texts:
             data = text.encode("utf-8", "replace") if text else b""
             # The tokenizer lowers case itself, but for the names of its special tokens.
-            split.append(data.split() if b"<|" in data else data.lower().split())
-        fresh = set().union(*split).difference(self.known) if split else set()
-        extra: dict[bytes, bytes] = {}
-        if fresh:
-            words = sorted(fresh)
-            for at in range(0, len(words), 10_000):
-                part = words[at : at + 10_000]
-                for word, ids in zip(part, self._ids([w.decode() for w in part]), strict=True):
-                    (self.known if len(self.known) < self.room else extra)[word] = ids
-        known = self.known if not extra else _Both(self.known, extra)
-        for words in split:
-            yield np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-
-
-class _Both(dict):
-    """Look-ups in two dictionaries."""
-
-    def __init__(self, first: dict, second: dict) -> None:
-        super().__init__(second)
-        self.first = first
-
-    def __missing__(self, key: bytes) -> bytes:
-        return self.first[key]
+            words = data.split() if b"<|" in data else data.lower().split()
+            found = list(map(self.known.get, words))
+            if None in found:
+                missing.update([w for w, ids in zip(words, found, strict=True) if ids is None])
+            split.append((words, found))
+        new = self._new(missing) if missing else {}
+        for words, found in split:
+            if None in found:
+                found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+            yield np.frombuffer(b"".join(found), "<u4")
+
+    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not known yet; stems and odd words become known while there is room."""
+        stems, odd = {}, []
+        for w in words:
+            stem = w[:-1] if w[-1] in self.marks else w
+            if stem in self.known or of_letters(stem):
+                stems[w] = stem
+            else:
+                odd.append(w)
+        fresh = self._words(sorted(set(stems.values()).difference(self.known)))
+        if odd:
+            odd.sort()
+            fresh |= zip(odd, self._ids([w.decode() for w in odd]), strict=True)
+        out = {w: fresh[w] for w in odd}
+        for w, stem in stems.items():
+            found = fresh[stem] if stem in fresh else self.known[stem]
+            out[w] = found if stem is w else found + self.marks[w[-1]]
+        self.known.update(islice(fresh.items(), max(0, self.room - len(self.known))))
+        return out
+
+
+def of_letters(word: bytes) -> bool:
+    """Whether a word is letters only and stays as it is in lower case and in composed form."""
+    if word.isalpha():
+        return word.islower()
+    text = word.decode()
+    return text.isalpha() and text == text.lower() and is_normalized("NFC", text)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -141,7 +181,7 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def in_parts(texts: pa.Array, chars: int = 2_000_000) -> Iterator[range]:
+def in_parts(texts: pa.Array, chars: int = 4_000_000) -> Iterator[range]:
     """Ranges of rows with about ``chars`` bytes of text each."""
     start, size = 0, 0
     for i, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
@@ -157,7 +197,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def write_records(docs: DataFrame, out: str, vocabulary: str, end_id: int = 2, file_bytes: int = 32 << 20,
+def write_records(docs: DataFrame, out: str, vocabulary: str, end_id: int = 2, file_bytes: int = 16 << 20,
                   id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text and write the records to ``out/records``, the index to ``out/index``.
 
