@@ -67,7 +67,10 @@ def occurrences(docs: DataFrame, depth: int) -> DataFrame:
 
 
 def cells(docs: DataFrame, examples: DataFrame, depth: int) -> DataFrame:
-    """One row per token of every example line: a hash of its position and the token."""
+    """One row per token of every example line: a hash of its position and the token.
+
+    Lists of lines grow with the texts, so they meet them by a sorted join at every size.
+    """
     lists = materialize(examples.groupBy("doc_id").agg(F.collect_set("line").alias("found")), "example-lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +92,7 @@ def cells(docs: DataFrame, examples: DataFrame, depth: int) -> DataFrame:
             if held:
                 yield to_batch(held, TOKENS)
 
-    found = docs.join(lists, "doc_id").select("text", "found").mapInArrow(run, "leaf long, line long, n int, cell long")
+    found = docs.join(lists.hint("merge"), "doc_id").select("text", "found").mapInArrow(run, "leaf long, line long, n int, cell long")
     # Rows that share the id of the example may hold the line as well.
     return materialize(found.distinct(), "cells")
 
@@ -143,7 +146,7 @@ def with_dropped(docs: DataFrame, depth: int, least_docs: int, least_share: floa
         name += "_"
     dropped = recurring_lines(docs, depth, least_docs, least_share)
     lists = materialize(dropped.groupBy("doc_id").agg(F.collect_set("line").alias(name)), "dropped-lines")
-    return docs.join(lists, "doc_id", "left").select(*[docs[c] for c in docs.columns], name)
+    return docs.join(lists.hint("merge"), "doc_id", "left").select(*[docs[c] for c in docs.columns], name)
 
 
 def keep_lines(text: str | None, dropped: list[int] | None, depth: int) -> list[bytes]:
