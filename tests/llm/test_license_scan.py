@@ -41,6 +41,19 @@ def test_against_brute_force(text):
     assert ls.default_scanner(0.8).scan(text) == brute(text)
 
 
+@pytest.mark.parametrize("text, names", [
+    ("Copyright 2024 Example Corp. All rights reserved.", ["all-rights-reserved"]),
+    ("Copyright (c) 2020 X. Licensed under the MIT License.", ["mit-notice"]),
+    (prose(8, 40) + " " + MIT + " " + prose(9, 40) + " All rights reserved. " + prose(10, 9), ["mit", "all-rights-reserved"]),
+    (ls.BSD_CONDITIONS + "\n" + ls.BSD_DISCLAIMER, ["bsd-2-clause"]), (ls.TEMPLATES["bsd-3-clause"][0], ["bsd-3-clause"]),
+    (prose(1, 30) + "\n" + ls.program_header("program", "GNU General Public License", "2"), ["gpl-2.0-notice"]),
+    (ls.program_header("program", "GNU Affero General Public License", "3"), ["agpl-3.0-notice"]),
+    (prose(2, 30) + "\n" + ls.full_text("GPL-3") + "\n" + prose(3, 30), ["gpl-3.0"]), (ls.full_text("MPL-2.0"), ["mpl-2.0"]),
+])
+def test_families_full_texts_and_notices_within_a_line(text, names):
+    assert [m[0] for m in ls.default_scanner(0.8).scan(text)] == names
+
+
 def test_size_bounds_hold():
     scanner = ls.default_scanner(0.8)
     for text in (MIT, MIT[:500], "All rights reserved", "Licensed under the MIT License"):
