@@ -3,8 +3,9 @@
 The tree sorts a line first by its number of tokens, then by its leading ``depth`` tokens; tokens with a
 digit count as the variable ``<*>`` from the start. Within a leaf, a token that stands at its position in
 at least ``least_docs`` documents is constant, any other is a variable field. Lines with the same
-constants share a template if these make up ``least_share`` of the tokens; a line with fewer is only like
-itself. Unlike a parser that meets lines one by one, this does not depend on their order, and each step is
+constants and variables share a template if the constants make up ``least_share`` of the tokens without a
+digit; a line with fewer is only like itself, and a line of variables alone only like lines of the same
+unmasked tokens. (``SQL`` counts variables as constants, so it drops more where lines have many.) Unlike a parser that meets lines one by one, this does not depend on their order, and each step is
 a grouped sum: a frequent line is one row per task before it is shuffled.
 
 A template found in ``least_docs`` or more documents is dropped from all of them but the one with the
@@ -28,7 +29,7 @@ from almsbook.llm.common import id_and_text, per_text, to_batch
 from almsbook.sources.storage import materialize
 
 LINES = pa.schema([("doc_id", pa.int64()), ("leaf", pa.int64()), ("line", pa.int64())])
-TOKENS = pa.schema([("leaf", pa.int64()), ("line", pa.int64()), ("n", pa.int32()), ("cell", pa.int64())])
+TOKENS = pa.schema([("leaf", pa.int64()), ("line", pa.int64()), ("n", pa.int32()), ("literal", pa.bool_()), ("cell", pa.int64())])
 DIGEST = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
 DIGIT = re.compile(rb"[0-9]")
 VARIABLE = b"<*>"
@@ -45,9 +46,10 @@ def tokens_of(line: bytes) -> list[bytes]:
     return [VARIABLE if DIGIT.search(t) else t for t in tokens] if DIGIT.search(line) else tokens
 
 
-def place(tokens: list[bytes], depth: int) -> tuple[int, int]:
-    """Leaf of the tree and identity of the line."""
-    return hash64(b"%d " % len(tokens) + b" ".join(tokens[:depth])), hash64(b" ".join(tokens))
+def place(line: bytes, tokens: list[bytes], depth: int) -> tuple[int, int]:
+    """Leaf of the tree and identity of the line; without a literal token its text as it is."""
+    own = tokens if tokens.count(VARIABLE) < len(tokens) else line.split()
+    return hash64(b"%d " % len(tokens) + b" ".join(tokens[:depth])), hash64(b" ".join(own))
 
 
 def lines_of(text: str | None) -> list[bytes]:
@@ -60,14 +62,14 @@ def occurrences(docs: DataFrame, depth: int) -> DataFrame:
     def rows(doc_id, text):
         if doc_id is None or text is None:
             return []
-        found = {place(tokens, depth) for line in lines_of(text) if (tokens := tokens_of(line))}
+        found = {place(line, tokens, depth) for line in lines_of(text) if (tokens := tokens_of(line))}
         return [(doc_id, *at) for at in found]
 
     return docs.mapInArrow(per_text(rows, LINES), "doc_id long, leaf long, line long").distinct()
 
 
 def cells(docs: DataFrame, examples: DataFrame, depth: int) -> DataFrame:
-    """One row per token of every example line: a hash of its position and the token.
+    """One row per token of every example line: a hash of its position and the token; ``n`` tokens of the line are literal.
 
     Lists of lines grow with the texts, so they meet them by a sorted join at every size.
     """
@@ -82,17 +84,18 @@ def cells(docs: DataFrame, examples: DataFrame, depth: int) -> DataFrame:
                     tokens = tokens_of(line)
                     if not tokens:
                         continue
-                    leaf, key = place(tokens, depth)
+                    leaf, key = place(line, tokens, depth)
                     if key in wanted:
                         wanted.remove(key)
-                        held.extend((leaf, key, len(tokens), hash64(b"%d " % i + t)) for i, t in enumerate(tokens))
+                        n = len(tokens) - tokens.count(VARIABLE)
+                        held.extend((leaf, key, n, t != VARIABLE, hash64(b"%d " % i + t)) for i, t in enumerate(tokens))
                 if len(held) > 50_000:
                     yield to_batch(held, TOKENS)
                     held = []
             if held:
                 yield to_batch(held, TOKENS)
 
-    found = docs.join(lists.hint("merge"), "doc_id").select("text", "found").mapInArrow(run, "leaf long, line long, n int, cell long")
+    found = docs.join(lists.hint("merge"), "doc_id").select("text", "found").mapInArrow(run, "leaf long, line long, n int, literal boolean, cell long")
     # Rows that share the id of the example may hold the line as well.
     return materialize(found.distinct(), "cells")
 
@@ -113,12 +116,12 @@ def recurring_lines(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_
     tokens = cells(docs, lines.select("doc_id", "line"), depth).join(lines.select("leaf", "line", "docs"), ["leaf", "line"])
     tokens = materialize(tokens, "tokens")
     constant = tokens.groupBy("leaf", "cell").agg(F.sum("docs").alias("m")).where(F.col("m") >= least_docs)
-    wide = F.col("constants") >= F.col("n") * F.lit(least_share)
+    wide = (F.col("n") > 0) & (F.col("constants") >= F.col("n") * F.lit(least_share))
     parsed = (
         tokens.join(materialize(constant, "constants"), ["leaf", "cell"], "left")
         .groupBy("leaf", "line", "n")
         .agg(
-            F.count("m").alias("constants"),
+            F.count(F.when(F.col("literal"), F.col("m"))).alias("constants"),
             F.bit_xor(F.when(F.col("m").isNotNull(), F.col("cell"))).alias("pattern"),
         )
         .select(
@@ -154,7 +157,7 @@ def keep_lines(text: str | None, dropped: list[int] | None, depth: int) -> list[
     if not dropped:
         return lines
     gone = set(dropped)
-    return [line for line in lines if not (tokens := tokens_of(line)) or place(tokens, depth)[1] not in gone]
+    return [line for line in lines if not (tokens := tokens_of(line)) or place(line, tokens, depth)[1] not in gone]
 
 
 def drop_lines(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_share: float = 0.7) -> DataFrame:
