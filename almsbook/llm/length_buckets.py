@@ -1,7 +1,7 @@
 """Packing into length buckets whose boundaries waste least padding.
 
 Sequences are texts in subword ids, cut into pieces of at most ``longest`` ids. The histogram over all
-pieces, in steps of ``step`` ids, has ``longest / step`` rows at most whatever the input; dynamic
+pieces, in steps of ``step`` ids (each length for itself, unless the caller says otherwise), has ``longest / step`` rows at most whatever the input; dynamic
 programming over it finds the ``buckets`` boundaries with the least total padding. Inside a bucket of
 boundary b, batches hold ``budget // b`` pieces each, in order of document id; only the last may be short.
 
@@ -57,15 +57,22 @@ def best_boundaries(histogram: dict[int, tuple[int, int]], buckets: int) -> list
     counts = np.concatenate(([0], np.cumsum([histogram[e][0] for e in edges], dtype=float)))
     tokens = np.concatenate(([0], np.cumsum([histogram[e][1] for e in edges], dtype=float)))
     n = len(edges)
-    # waste[i, j]: padding if classes i to j share the boundary of class j.
-    waste = (counts[None, 1:] - counts[:-1, None]) * upper[None, :] - (tokens[None, 1:] - tokens[:-1, None])
-    waste[np.tril_indices(n, -1)] = np.inf
-    least, cuts = waste[0].copy(), [np.zeros(n, int)]
+
+    def waste(at: slice) -> np.ndarray:
+        """Row i, column j: padding if classes i to j share the boundary of class j; some columns at a time bound the memory."""
+        own = (counts[None, 1:][:, at] - counts[:-1, None]) * upper[None, at] - (tokens[None, 1:][:, at] - tokens[:-1, None])
+        own[np.arange(n)[:, None] > np.arange(n)[None, at]] = np.inf
+        return own
+
+    least, cuts = counts[1:] * upper - tokens[1:], [np.zeros(n, int)]
     for _ in range(min(buckets, n) - 1):
-        both = least[:-1, None] + waste[1:, :]
-        both = np.concatenate((waste[:1], both))
-        cuts.append(both.argmin(axis=0))
-        least = both.min(axis=0)
+        ahead, cut, lower = np.concatenate(([0.0], least[:-1]))[:, None], np.zeros(n, int), np.empty(n)
+        for lo in range(0, n, 256):
+            at = slice(lo, min(lo + 256, n))
+            both = ahead + waste(at)
+            cut[at], lower[at] = both.argmin(axis=0), both.min(axis=0)
+        cuts.append(cut)
+        least = lower
     out, j = [], n - 1
     for cut in reversed(cuts):
         out.append(edges[j])
@@ -108,7 +115,7 @@ def batches_of(parts: DataFrame, boundaries: list[int], budget: int) -> DataFram
 
 
 def pack(
-    docs: DataFrame, vocabulary: str | None = None, longest: int = 4096, step: int = 16, buckets: int = 8, budget: int = 65_536,
+    docs: DataFrame, vocabulary: str | None = None, longest: int = 4096, step: int = 1, buckets: int = 8, budget: int = 65_536,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``(doc_id, piece, n_tokens, bucket, batch, padding)`` of every piece of every text."""

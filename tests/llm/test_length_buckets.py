@@ -56,6 +56,17 @@ def test_packing(spark):
     assert edges == lb.best_boundaries(histogram, 4)
 
 
+def test_boundaries_waste_least_over_the_exact_lengths(spark):
+    full = [r for r in lb.pack(docs(spark, *ROWS), buckets=4).collect() if r["n_tokens"]]
+    histogram = {}
+    for r in full:
+        n, tokens = histogram.get(r["n_tokens"], (0, 0))
+        histogram[r["n_tokens"]] = (n + 1, tokens + r["n_tokens"])
+    edges = lb.best_boundaries(histogram, 4)
+    assert {r["bucket"] for r in full} == set(edges) and any(e % 16 for e in edges)
+    assert sum(r["padding"] for r in full) == waste(edges, histogram)
+
+
 def test_empty_table(spark):
     assert lb.pack(docs(spark)).collect() == []
     assert [tuple(r) for r in lb.pack(docs(spark, (1, None))).collect()] == [(1, 0, 0, None, None, None)]
