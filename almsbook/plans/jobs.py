@@ -14,6 +14,7 @@ from almsbook.plans import calendar, document, donors, mart, prep, quality, reco
 from almsbook.schemas import ADJUSTMENTS, FUNDS, RAW
 from almsbook.sources.files import contract, scan_csv, write_csv
 from almsbook.sources.landing import land_csv, misfits, read_raw
+from almsbook.sources.manifest import Manifest
 from almsbook.sources.storage import materialize
 
 
@@ -44,34 +45,55 @@ def mart_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
 
 
 def load_mart(spark: SparkSession, raw_dir: str, mart_dir: str, loaded_dir: str | None = None) -> None:
-    """Write a new version of the mart: what ``loaded_dir`` holds plus what the raw layer adds.
+    """Write a fresh mart: what ``loaded_dir`` holds plus what the raw layer adds.
 
-    Tables are rewritten into a fresh folder, so readers of the old version are not disturbed.
+    Its first version is there once all tables are.
     """
+    manifest = Manifest(spark, mart_dir)
+    if manifest.version():
+        raise ValueError(f"{mart_dir} holds a mart already")
+    manifest.sweep()  # what a failed load left
     for table, batch in mart_tables(spark, raw_dir).items():
-        loaded = mart.stored(spark, table, f"{loaded_dir}/{table}") if loaded_dir else None
-        mart.store(table, mart.load(table, batch, loaded), f"{mart_dir}/{table}")
+        loaded = mart.stored(spark, loaded_dir, table) if loaded_dir else None
+        mart.store(table, mart.load(table, batch, loaded), manifest.path(table, 1))
+    manifest.commit({table: [1] for table in mart.KEYS})
 
 
-def extend_mart(spark: SparkSession, raw_dir: str, mart_dir: str) -> None:
-    """Add what the raw layer has over the mart, in place.
+def extend_mart(spark: SparkSession, raw_dir: str, mart_dir: str, keep: int = 1) -> int:
+    """Add what the raw layer has over the mart, as its next version; returns the version.
 
-    Rows with new keys are appended, so the loaded facts are read by key but never rewritten. Only the
-    donor dimension is, since known donors may change their name. Running it again adds nothing.
+    Rows with new keys become a load of their own, so the loaded facts are read by key but never rewritten.
+    Only the donor dimension is, since known donors may change their name. All tables change together when the
+    manifest is written: until then, and if the job fails, readers see the version before. Running it again adds
+    nothing. The ``keep`` newest versions stay readable.
     """
+    manifest = Manifest(spark, mart_dir)
+    before, version = manifest.loads(), manifest.version()
+    if not version:
+        raise ValueError(f"{mart_dir} holds no version to extend")
+    manifest.sweep(keep)
+    added: dict[str, list[int]] = {}
+    dropped: dict[str, list[int]] = {}
     for table, batch in mart_tables(spark, raw_dir).items():
-        path = f"{mart_dir}/{table}"
-        loaded = mart.stored(spark, table, path)
+        loaded = mart.stored(spark, mart_dir, table)
+        path = manifest.path(table, version + 1)
         if table == "dim_donor":
-            # Written aside first: a table cannot be overwritten while it is read.
-            materialize(mart.load(table, batch, loaded), table).write.mode("overwrite").parquet(path)
+            mart.store(table, mart.load(table, batch, loaded), path)
+            dropped[table] = before[table]
         else:
-            mart.store(table, absent(loaded, batch, mart.KEYS[table]), path, "append")
+            new = absent(loaded, batch, mart.KEYS[table])
+            mart.store(table, new, path)
+            if spark.read.schema(loaded.schema).parquet(path).isEmpty():
+                continue
+        added[table] = [version + 1]
+    manifest.commit(added, dropped)
+    manifest.sweep(keep)
+    return version + 1
 
 
 def check_keys(spark: SparkSession, raw_dir: str, mart_dir: str) -> DataFrame:
     """Keys and references of a loaded mart, and landed rows that did not fit their types."""
-    tables = {name: spark.read.parquet(f"{mart_dir}/{name}") for name in mart.KEYS}
+    tables = {name: mart.current(spark, mart_dir, name) for name in mart.KEYS}
     tables["contacts"] = read_raw(spark, "contacts", raw_dir)
     landed = [table for table in RAW if table != "adjustments"]
     return quality.key_expectations(tables, mart.KEYS).unionByName(
@@ -83,7 +105,7 @@ def books_of(spark: SparkSession, raw_dir: str, mart_dir: str) -> document.Books
     """Shared frames over a loaded mart; reconciliation and donor scores are computed once."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{mart_dir}/{name}")
+        return mart.current(spark, mart_dir, name)
 
     gifts = mart.gifts_of(table("fact_gifts"))
     ledger = mart.ledger_of(table("fact_gl"))
@@ -113,7 +135,7 @@ def register_views(spark: SparkSession, raw_dir: str, mart_dir: str) -> list[str
     def raw(table: str) -> DataFrame:
         return read_raw(spark, table, raw_dir)
 
-    views = {name: spark.read.parquet(f"{mart_dir}/{name}") for name in mart.KEYS}
+    views = {name: mart.current(spark, mart_dir, name) for name in mart.KEYS}
     gifts, ledger = mart.gifts_of(views["fact_gifts"]), mart.ledger_of(views["fact_gl"])
     views |= {
         "stg_donors": staging.stg_donors(raw("contacts")),

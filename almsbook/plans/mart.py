@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from almsbook.functions.calendar import date_key, fiscal_month, fiscal_year, key_date, with_fiscal_period
 from almsbook.functions.money import money
 from almsbook.operators.merging import insert_if_absent, upsert
+from almsbook.sources.manifest import Manifest, is_versioned
 
 # Primary key of each table.
 KEYS = {
@@ -86,9 +87,20 @@ def store(table: str, rows: DataFrame, path: str, mode: str = "errorifexists") -
     dated.hint("rebalance", "fiscal_year").write.mode(mode).partitionBy("fiscal_year").parquet(path)
 
 
-def stored(spark: SparkSession, table: str, path: str) -> DataFrame:
+def current(spark: SparkSession, mart_dir: str, table: str, version: int | None = None) -> DataFrame:
+    """A mart table as of ``version`` or the newest; facts keep the fiscal year they are stored by.
+
+    A folder without versions is read as it is.
+    """
+    if not is_versioned(spark, mart_dir):
+        return spark.read.parquet(f"{mart_dir}/{table}")
+    return Manifest(spark, mart_dir).read(table, version).drop("load")
+
+
+def stored(spark: SparkSession, mart_dir: str, table: str) -> DataFrame:
     """A mart table with its contract columns only."""
-    return spark.read.parquet(path).drop("fiscal_year") if table.startswith("fact_") else spark.read.parquet(path)
+    rows = current(spark, mart_dir, table)
+    return rows.drop("fiscal_year") if table.startswith("fact_") else rows
 
 
 def _with_date(fact: DataFrame, day: str) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from datetime import date
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almsbook.operators.checks import as_rows, check_row, expectation_row, within_tolerance
+from almsbook.operators.checks import Known, Unique, as_rows, check_row, expectation_row, rule_rows, within_tolerance
 from almsbook.operators.matching import has_match
 from almsbook.operators.reconcile import NEEDS_REVIEW
 from almsbook.plans.reconciliation import transaction_balances
@@ -132,13 +131,6 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     return repeated.agg(F.count("*").alias("bad"))
 
 
-def unknown_references(df: DataFrame, column: str, known: DataFrame, key: str) -> DataFrame:
-    """Number of rows whose ``column`` is not among the keys of ``known``; a missing value refers to nothing. One row."""
-    per_value = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("n"))
-    lone = per_value.join(known.select(F.col(key).alias("_value")), "_value", "left_anti")
-    return lone.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("bad"))
-
-
 def expectations(
     gifts: DataFrame,
     funds: DataFrame,
@@ -207,15 +199,8 @@ def key_expectations(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -
 
     ``tables`` holds the mart tables and ``contacts``; ``keys`` names the key of each mart table.
     """
-    bad = F.col("bad")
-    rules = [
-        (duplicate_keys(tables[name], *columns), f"{name}: {', '.join(columns)} is unique") for name, columns in keys.items()
-    ] + [
-        (unknown_references(tables[name], column, tables[dim], key), f"{name}: {column} is known to {dim}")
-        for name, column, dim, key in REFERENCES
-    ]
-    rows = [as_rows(facts, expectation_row(name, bad, bad == 0)) for facts, name in rules]
-    return reduce(DataFrame.unionByName, rows)
+    rules = [Unique(name, tuple(columns)) for name, columns in keys.items()] + [Known(*reference) for reference in REFERENCES]
+    return rule_rows(tables, rules)
 
 
 def fitting_expectations(misfits: DataFrame) -> DataFrame:

@@ -21,8 +21,26 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scopes.remove(made)
         for path in made:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            remove(spark, path)
+
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds, if it is there."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if there is no such place."""
+    place, system = _place(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place) if status.isDirectory())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,6 +9,7 @@ import pytest
 from almsbook import schemas
 from almsbook.plans import document, jobs, mart, overview, prep, reconciliation, staging
 from almsbook.sources import crm, files, landing
+from almsbook.sources.manifest import Manifest
 from helpers import accounts, day, dec, funds, gifts, ledger, plan_of, rows
 
 
@@ -165,6 +166,47 @@ def test_extending_in_place(spark, warehouse, extracts, tmp_path):
         assert spark.read.parquet(f"{store}/fact_gl").count() == 6
 
 
+def test_a_load_is_visible_whole_or_not(spark, extracts, tmp_path, monkeypatch):
+    raw, store = f"{tmp_path}/raw", f"{tmp_path}/mart"
+    jobs.land_raw(spark, extracts, raw)
+    write = mart.store
+
+    def failing_at(broken):
+        def store_or_fail(table, *rest):
+            if table == broken:
+                raise OSError("the disk is full")
+            write(table, *rest)
+
+        monkeypatch.setattr(mart, "store", store_or_fail)
+
+    failing_at("fact_gifts")
+    with pytest.raises(OSError):
+        jobs.load_mart(spark, raw, store)
+    assert Manifest(spark, store).version() == 0
+    monkeypatch.undo()
+    jobs.load_mart(spark, raw, store)
+    before = {name: rows(mart.current(spark, store, name)) for name in mart.KEYS}
+    landing.land(gifts(spark, ("g7", "d9", "B", "2026-07-01", "5.00")), f"{raw}/gifts")
+    landing.land(spark.createDataFrame([("d2", "Bo R. Ray", "Organization", None, None, "CA")], schemas.CONTACTS), f"{raw}/contacts")
+    for broken in ("fact_pledges", "dim_donor"):  # between two tables, and at the one that is written anew
+        failing_at(broken)
+        with pytest.raises(OSError):
+            jobs.extend_mart(spark, raw, store)
+        monkeypatch.undo()
+        assert {name: rows(mart.current(spark, store, name)) for name in mart.KEYS} == before
+    assert jobs.extend_mart(spark, raw, store, keep=2) == 2
+    assert mart.current(spark, store, "fact_gifts").count() == 5
+    assert {name: rows(mart.current(spark, store, name, version=1)) for name in mart.KEYS} == before
+    assert [r[1] for r in rows(mart.current(spark, store, "dim_donor"))] == ["Ann Lee", "Bo R. Ray", "Cy, Inc."]
+    # Nothing new: the facts gain no load, and the donors' first one is out of reach.
+    assert jobs.extend_mart(spark, raw, store, keep=2) == 3
+    manifest = Manifest(spark, store)
+    assert manifest.loads()["fact_gifts"] == [1, 2] and manifest.loads()["fact_gl"] == [1] and manifest.loads()["dim_donor"] == [3]
+    assert sorted(os.listdir(f"{store}/dim_donor")) == ["load=2", "load=3"]
+    with pytest.raises(ValueError, match="already"):
+        jobs.load_mart(spark, raw, store)
+
+
 def test_reconciliation_from_the_mart_equals_staging(spark, warehouse, books):
     raw = lambda name: landing.read_raw(spark, name, f"{warehouse}/raw")
     direct = reconciliation.fund_reconciliation(

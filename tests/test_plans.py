@@ -5,9 +5,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from almsbook.operators.checks import Known, Unique, rule_rows
 from almsbook.operators.reconcile import NEEDS_REVIEW, RECONCILED
 from almsbook.plans import calendar, donors, journal, mart, overview, prep, quality, reconciliation, staging, statement
-from helpers import accounts, day, dec, funds, gifts, ledger, rows
+from helpers import accounts, day, dec, funds, gifts, ledger, plan_of, rows
 
 
 @pytest.fixture(scope="module")
@@ -395,6 +396,16 @@ def test_key_expectations_can_fail_each(spark):
     assert [r["passed"] for r in twice] == [False] * 9 + [True] * 9
     lost = {k: v.where("false") if k.startswith("dim") or k == "contacts" else v for k, v in good.items()}
     assert [r["observed"] for r in quality.key_expectations(lost, mart.KEYS).collect()] == [0] * 9 + [2, 2, 1, 2, 1, 1, 2, 2, 1]
+    plan = plan_of(quality.key_expectations(good, mart.KEYS))
+    assert (plan.count("Exchange"), plan.count("Exchange SinglePartition")) == (2, 1)
+
+
+def test_rules_on_hot_missing_and_paired_keys(spark):
+    rules = [Unique("t", ("a", "b")), Known("t", "a", "u", "k"), Known("u", "k", "t", "a")]
+    t = spark.createDataFrame([(1, "x")] * 500 + [(1, None)] * 2 + [(None, None)] * 3 + [(2, "x"), (3, "x"), (None, "x")], "a int, b string")
+    u = spark.createDataFrame([(1,), (2,), (2,), (9,), (None,)], "k long")
+    assert [r["observed"] for r in rule_rows({"t": t, "u": u}, rules).collect()] == [3, 1, 1]
+    assert [r["observed"] for r in rule_rows({"t": t.where("false"), "u": u}, rules).collect()] == [0, 0, 4]
 
 
 # Statements
