@@ -16,7 +16,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from almsbook.sources.storage import materialize
@@ -140,24 +140,27 @@ class CsvRanges:
 
         ``returns`` marks the first range of a file whose first line ends in a return and a line feed.
         """
-        counted = materialize(
-            self.lines.mapInArrow(_summarise, "file string, start long, quotes long, misplaced_0 long, misplaced_1 long, returns boolean"), "csv-ranges"
-        )
+        counted = self.lines.mapInArrow(_summarise, "file string, start long, quotes long, misplaced_0 long, misplaced_1 long, returns boolean")
         # One row per range, not per record, however long the file.
         before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-        inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
-        stated = counted.withColumn("inside", inside)
+        stated = counted.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1)
         return materialize(stated.select(
             *RANGE, F.when(F.col("inside"), F.col("misplaced_1")).otherwise(F.col("misplaced_0")).alias("misplaced"), "inside",
             ((F.col("quotes") + F.col("inside").cast("long")) % 2 == 1).alias("left_open"), "returns",
-        ), "csv-states")
+        ), "csv-ranges")
 
     @cached_property
+    def _judged(self) -> Row:
+        """What the driver has to know: the files parity cannot judge, and whether any range needs its state looked up."""
+        ends = F.max_by("left_open", "start").alias("left_open")
+        files = self.ranges.groupBy("file").agg(F.sum("misplaced").alias("misplaced"), ends, F.max("inside").alias("inside"), F.max("returns").alias("returns"))
+        irregular = F.when((F.col("misplaced") > 0) | F.col("left_open"), F.col("file"))
+        return files.agg(F.sort_array(F.collect_list(irregular)).alias("irregular"), F.max("inside").alias("inside"), F.max("returns").alias("returns")).first()
+
+    @property
     def irregular(self) -> list[str]:
         """Files with quotes that parity cannot judge; the driver has a list of all files anyway."""
-        ends = F.max_by("left_open", "start")
-        judged = self.ranges.groupBy("file").agg(F.sum("misplaced").alias("misplaced"), ends.alias("left_open"))
-        return sorted(r["file"] for r in judged.where("misplaced > 0 OR left_open").select("file").collect())
+        return self._judged["irregular"]
 
     def records(self) -> DataFrame:
         """``(record, first, returns)`` of all regular files.
@@ -166,19 +169,20 @@ class CsvRanges:
         files whose lines end in a return and a line feed.
         """
         lines = self.lines.where(~F.col("file").isin(self.irregular)) if self.irregular else self.lines
-        states = self.ranges.where("inside").select(*RANGE, "inside")
-        # A row per range that begins within quotes, at most one per spark.sql.files.maxPartitionBytes of input.
-        stated = lines.join(F.broadcast(states), RANGE, "left")
-        # One row per file, and the driver has a list of all files anyway.
-        returning = self.ranges.where("returns").select("file", "returns")
-        stated = stated.join(F.broadcast(returning), "file", "left").select(
-            "value", *RANGE, *[F.coalesce(c, F.lit(False)).alias(c) for c in ("inside", "returns")]
-        )
+        stated = lines.withColumns({"inside": F.lit(False), "returns": F.lit(False)})
+        if self._judged["inside"]:
+            # A row per range that begins within quotes, at most one per spark.sql.files.maxPartitionBytes of input.
+            states = self.ranges.where("inside").select(*RANGE, "inside")
+            stated = stated.drop("inside").join(F.broadcast(states), RANGE, "left").fillna(False, "inside")
+        if self._judged["returns"]:
+            # One row per file, and the driver has a list of all files anyway.
+            returning = self.ranges.where("returns").select("file", "returns")
+            stated = stated.drop("returns").join(F.broadcast(returning), "file", "left").fillna(False, "returns")
+        stated = stated.select("value", *RANGE, "inside", "returns")
         shape = "file string, start long, part byte, first boolean, returns boolean, record binary"
         whole = stated.mapInArrow(_assemble, shape).where(F.col("part") == WHOLE).select("record", "first", "returns")
-        if states.take(1):
+        if self._judged["inside"]:
             whole = whole.unionByName(self._across(stated, shape))
-        text = F.col("record").cast("string")
         # A byte order mark belongs to the file, a return before the line feed to the line break.
         text = F.col("record").cast("string")
         text = F.when(F.col("first"), F.regexp_replace(text, "^\ufeff", "")).otherwise(text)
