@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from almsbook.operators.merging import absent
 from almsbook.plans import calendar, document, donors, mart, prep, quality, reconciliation, staging, statement
 from almsbook.schemas import ADJUSTMENTS, FUNDS, RAW
+from almsbook.sources import crm
 from almsbook.sources.files import contract, scan_csv, write_csv
 from almsbook.sources.landing import land_csv, misfits, read_raw
 from almsbook.sources.manifest import Manifest
-from almsbook.sources.storage import materialize
+from almsbook.sources.storage import materialize, remove
 
 
 def land_raw(spark: SparkSession, csv_by_table: dict[str, str], raw_dir: str) -> None:
@@ -53,10 +54,11 @@ def load_mart(spark: SparkSession, raw_dir: str, mart_dir: str, loaded_dir: str
     if manifest.version():
         raise ValueError(f"{mart_dir} holds a mart already")
     manifest.sweep()  # what a failed load left
-    for table, batch in mart_tables(spark, raw_dir).items():
+    batches = mart_tables(spark, raw_dir)
+    for table, batch in batches.items():
         loaded = mart.stored(spark, loaded_dir, table) if loaded_dir else None
         mart.store(table, mart.load(table, batch, loaded), manifest.path(table, 1))
-    manifest.commit({table: [1] for table in mart.KEYS})
+    manifest.commit({table: [1] for table in batches})
 
 
 def extend_mart(spark: SparkSession, raw_dir: str, mart_dir: str, keep: int = 1) -> int:
@@ -91,14 +93,15 @@ def extend_mart(spark: SparkSession, raw_dir: str, mart_dir: str, keep: int = 1)
     return version + 1
 
 
-def check_keys(spark: SparkSession, raw_dir: str, mart_dir: str) -> DataFrame:
-    """Keys and references of a loaded mart, and landed rows that did not fit their types."""
+def check_keys(spark: SparkSession, raw_dir: str, mart_dir: str, crm_paths: dict[str, str] | None = None) -> DataFrame:
+    """Keys and references of a loaded mart, and landed rows that did not fit their types; those of CRM extracts on request."""
     tables = {name: mart.current(spark, mart_dir, name) for name in mart.KEYS}
     tables["contacts"] = read_raw(spark, "contacts", raw_dir)
     landed = [table for table in RAW if table != "adjustments"]
-    return quality.key_expectations(tables, mart.KEYS).unionByName(
-        quality.fitting_expectations(misfits(spark, raw_dir, landed))
-    )
+    fitting = misfits(spark, raw_dir, landed)
+    if crm_paths:
+        fitting = fitting.unionByName(crm.misfits(spark, crm_paths))
+    return quality.key_expectations(tables, mart.KEYS).unionByName(quality.fitting_expectations(fitting))
 
 
 def books_of(spark: SparkSession, raw_dir: str, mart_dir: str) -> document.Books:
@@ -162,8 +165,12 @@ def log_quality(books: document.Books, log_dir: str, run_id: str | None = None)
 
 
 def append_quality(results: DataFrame, log_dir: str, run: str) -> None:
-    stamped = results.withColumns({"run_id": F.lit(run), "run_at": F.current_timestamp()})
-    stamped.coalesce(1).write.mode("append").parquet(log_dir)
+    """Put the results of a run into the log, in place of what the same run put there before.
+
+    A run has a folder of its own; its id is also a column, since names of folders lose their type.
+    """
+    stamped = results.withColumns({"run_id": F.lit(run), "run_at": F.current_timestamp(), "run": F.concat(F.lit("run-"), F.lit(run))})
+    stamped.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(log_dir)
 
 
 def write_metrics(books: document.Books, out_dir: str) -> None:
@@ -182,9 +189,14 @@ def write_statements(books: document.Books, out_dir: str, top_n: int | None = 15
 
 
 def write_statement_files(flagged: DataFrame, periods: DataFrame, out_dir: str) -> None:
-    header = statement.statement_header(periods, flagged)
-    for name, part in (("header", header), ("rows", statement.statement_rows(flagged))):
-        part.write.mode("overwrite").partitionBy(*statement.PERIOD).parquet(f"{out_dir}/{name}")
+    """The statements of ``periods``, in place of what was written for them before; other periods keep their files."""
+    spark = flagged.sparkSession
+    body = statement.statement_rows(flagged.join(periods.select(*statement.PERIOD), statement.PERIOD, "left_semi"))
+    for name, part in (("header", statement.statement_header(periods, flagged)), ("rows", body)):
+        part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*statement.PERIOD).parquet(f"{out_dir}/{name}")
+    # A period that has no flagged rows any more writes none over the old ones. Periods are months, so few.
+    for year, month in periods.select(*statement.PERIOD).join(flagged, statement.PERIOD, "left_anti").collect():
+        remove(spark, f"{out_dir}/rows/fiscal_year={year}/fiscal_month={month}")
 
 
 def run_prep(spark: SparkSession, adjustments_csv: str, funds_csv: str, out_dir: str) -> DataFrame:

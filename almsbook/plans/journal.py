@@ -47,3 +47,37 @@ def journal_exceptions(gifts: DataFrame, funds: DataFrame, ledger: DataFrame) ->
         money(amount - F.col("gift_amount")).alias("amount_off"), F.array_join(problems, ", ").alias("problems"),
     )
     return judged.where(F.col("problems") != "")
+
+
+def line_differences(gifts: DataFrame, funds: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Where the lines a gift should have and the lines that name it are not the same: missing, repeated and surplus ones.
+
+    Expected and posted lines stand in one table and are counted by gift, side, account, fund and amount. One grouped sum is
+    the whole comparison, no join of the two books: equal lines combine before the shuffle, and the lines of a gift that very
+    many name spread by their other columns. A line with both a debit and a credit counts on both sides, one with neither as
+    an empty line. Lines that name no gift at all are none of the gifts' business; those of an unknown gift are surplus.
+    ``first_transaction`` is the smallest transaction that posted the line.
+    """
+    posting = _with_revenue_account(gifts, funds)
+    amount = money(F.col("gift_amount"))
+    expected = posting.select("gift_id", "fund_id", F.inline(F.array(
+        F.struct(F.lit("debit").alias("side"), F.lit(CASH).alias("account_number"), amount.alias("amount")),
+        F.struct(F.lit("credit").alias("side"), F.col("revenue_account").alias("account_number"), amount.alias("amount")),
+    )))
+    sides = [
+        F.when(F.col(f"{side}_amount") != 0, F.struct(F.lit(side).alias("side"), money(F.col(f"{side}_amount")).alias("amount")))
+        for side in ("debit", "credit")
+    ]
+    empty = F.struct(F.lit("empty").alias("side"), money(F.lit(0)).alias("amount"))
+    lines = F.array_compact(F.array(*sides))
+    posted = ledger.where(F.col("source_gift_id").isNotNull()).select(
+        F.col("source_gift_id").alias("gift_id"), "fund_id", "account_number", "transaction_id", F.inline(F.when(F.size(lines) > 0, lines).otherwise(F.array(empty)))
+    )
+    key = ["gift_id", "side", "account_number", "fund_id", "amount"]
+    nothing = F.lit(None).cast(ledger.schema["transaction_id"].dataType)
+    both = expected.select(*key, F.lit(1).alias("e"), F.lit(0).alias("p"), nothing.alias("t")).unionByName(
+        posted.select(*key, F.lit(0).alias("e"), F.lit(1).alias("p"), F.col("transaction_id").alias("t"))
+    )
+    counted = both.groupBy(*key).agg(F.sum("e").alias("expected"), F.sum("p").alias("posted"), F.min("t").alias("first_transaction"))
+    difference = F.when(F.col("posted") < F.col("expected"), "missing").when(F.col("expected") > 0, "repeated").otherwise("surplus")
+    return counted.where("expected <> posted").select(*key, "expected", "posted", difference.alias("difference"), "first_transaction")

@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 
 from almsbook import schemas
-from almsbook.plans import document, jobs, mart, overview, prep, reconciliation, staging
+from almsbook.plans import document, jobs, mart, overview, prep, quality, reconciliation, staging
 from almsbook.sources import crm, files, landing
 from almsbook.sources.manifest import Manifest
 from helpers import accounts, day, dec, funds, gifts, ledger, plan_of, rows
@@ -166,45 +166,40 @@ def test_extending_in_place(spark, warehouse, extracts, tmp_path):
         assert spark.read.parquet(f"{store}/fact_gl").count() == 6
 
 
-def test_a_load_is_visible_whole_or_not(spark, extracts, tmp_path, monkeypatch):
-    raw, store = f"{tmp_path}/raw", f"{tmp_path}/mart"
-    jobs.land_raw(spark, extracts, raw)
-    write = mart.store
-
-    def failing_at(broken):
-        def store_or_fail(table, *rest):
-            if table == broken:
-                raise OSError("the disk is full")
-            write(table, *rest)
-
-        monkeypatch.setattr(mart, "store", store_or_fail)
-
-    failing_at("fact_gifts")
-    with pytest.raises(OSError):
-        jobs.load_mart(spark, raw, store)
-    assert Manifest(spark, store).version() == 0
-    monkeypatch.undo()
-    jobs.load_mart(spark, raw, store)
-    before = {name: rows(mart.current(spark, store, name)) for name in mart.KEYS}
-    landing.land(gifts(spark, ("g7", "d9", "B", "2026-07-01", "5.00")), f"{raw}/gifts")
-    landing.land(spark.createDataFrame([("d2", "Bo R. Ray", "Organization", None, None, "CA")], schemas.CONTACTS), f"{raw}/contacts")
-    for broken in ("fact_pledges", "dim_donor"):  # between two tables, and at the one that is written anew
-        failing_at(broken)
-        with pytest.raises(OSError):
-            jobs.extend_mart(spark, raw, store)
-        monkeypatch.undo()
-        assert {name: rows(mart.current(spark, store, name)) for name in mart.KEYS} == before
-    assert jobs.extend_mart(spark, raw, store, keep=2) == 2
-    assert mart.current(spark, store, "fact_gifts").count() == 5
-    assert {name: rows(mart.current(spark, store, name, version=1)) for name in mart.KEYS} == before
-    assert [r[1] for r in rows(mart.current(spark, store, "dim_donor"))] == ["Ann Lee", "Bo R. Ray", "Cy, Inc."]
+def test_a_load_is_visible_whole_or_not(spark, warehouse, tmp_path, monkeypatch):
+    store, names = f"{tmp_path}/mart", ["dim_donor", "fact_gifts", "fact_pledges"]
+    all_tables = jobs.mart_tables(spark, f"{warehouse}/raw")
+    late = mart.fact_gifts(gifts(spark, ("g7", "d9", "B", "2026-07-01", "5.00")))
+    renamed = spark.createDataFrame([("d2", "Bo R. Ray", "Organization", None, "CA")], all_tables["dim_donor"].schema)
+    write, batches = mart.store, {name: all_tables[name] for name in names}
+    monkeypatch.setattr(jobs, "mart_tables", lambda *_: batches)
+
+    def store_or_fail(table, *rest):
+        if table == "fact_pledges":
+            raise OSError("the disk is full")
+        write(table, *rest)
+
+    def state(version=None):
+        return {name: rows(mart.current(spark, store, name, version)) for name in names}
+
+    jobs.load_mart(spark, "", store)
+    before = state()
+    batches |= {"fact_gifts": late, "dim_donor": renamed}
+    monkeypatch.setattr(mart, "store", store_or_fail)
+    with pytest.raises(OSError):  # between two tables, one of them written anew
+        jobs.extend_mart(spark, "", store)
+    monkeypatch.setattr(mart, "store", write)
+    assert os.path.isdir(f"{store}/dim_donor/load=2") and state() == before
+    assert jobs.extend_mart(spark, "", store, keep=2) == 2
+    after = state()
+    assert len(after["fact_gifts"]) == 5 and [r[1] for r in after["dim_donor"]] == ["Ann Lee", "Bo R. Ray", "Cy, Inc."]
+    assert state(version=1) == before
     # Nothing new: the facts gain no load, and the donors' first one is out of reach.
-    assert jobs.extend_mart(spark, raw, store, keep=2) == 3
-    manifest = Manifest(spark, store)
-    assert manifest.loads()["fact_gifts"] == [1, 2] and manifest.loads()["fact_gl"] == [1] and manifest.loads()["dim_donor"] == [3]
+    assert jobs.extend_mart(spark, "", store, keep=2) == 3 and state() == after
+    assert Manifest(spark, store).loads() == {"dim_donor": [3], "fact_gifts": [1, 2], "fact_pledges": [1]}
     assert sorted(os.listdir(f"{store}/dim_donor")) == ["load=2", "load=3"]
     with pytest.raises(ValueError, match="already"):
-        jobs.load_mart(spark, raw, store)
+        jobs.load_mart(spark, "", store)
 
 
 def test_reconciliation_from_the_mart_equals_staging(spark, warehouse, books):
@@ -236,6 +231,40 @@ def test_quality_log_grows_by_six_rows_per_run(spark, books, tmp_path):
     assert got == {1: 1, 2: 1, 3: 1, 4: 0, 5: 1, 6: 1}
 
 
+def test_a_repeated_run_is_logged_once(spark, books, tmp_path):
+    log = f"{tmp_path}/log"
+    for run in ("7", "8", "7"):
+        jobs.log_quality(books, log, run)
+    logged = spark.read.parquet(log)
+    assert rows(logged.groupBy("run_id").count()) == [("7", 6), ("8", 6)]
+
+
+def test_statements_of_one_period_leave_the_others(spark, tmp_path):
+    def write(*flags):
+        flagged = spark.createDataFrame(
+            [(f, f"Fund {f}", year, month, dec("900.00"), dec("1.00"), dec("899.00"), "Needs Review") for f, year, month in flags],
+            "fund_id string, fund_name string, fiscal_year int, fiscal_month int, gifts_recorded decimal(18,2), gl_posted decimal(18,2), "
+            "variance decimal(18,2), status string",
+        )
+        return flagged
+
+    out = f"{tmp_path}/statements"
+    first = write(("A", 2025, 1), ("B", 2025, 2), ("C", 2025, 2))
+    jobs.write_statement_files(first, first.select("fiscal_year", "fiscal_month").distinct(), out)
+    january = sorted(os.listdir(f"{out}/rows/fiscal_year=2025/fiscal_month=1"))
+    # February is written anew; what is flagged elsewhere does not touch January.
+    second = write(("B", 2025, 2), ("Z", 2025, 1))
+    february = spark.createDataFrame([(2025, 2)], "fiscal_year int, fiscal_month int")
+    jobs.write_statement_files(second, february, out)
+    assert rows(spark.read.parquet(f"{out}/rows").select("fiscal_month", "fund")) == [(1, "Fund A"), (2, "Fund B")]
+    assert rows(spark.read.parquet(f"{out}/header").select("fiscal_month", "n_flagged")) == [(1, 1), (2, 1)]
+    assert sorted(os.listdir(f"{out}/rows/fiscal_year=2025/fiscal_month=1")) == january
+    # Nothing is flagged in February any more: its rows go, its statement stays.
+    jobs.write_statement_files(write(), february, out)
+    assert rows(spark.read.parquet(f"{out}/rows").select("fiscal_month", "fund")) == [(1, "Fund A")]
+    assert rows(spark.read.parquet(f"{out}/header").select("fiscal_month", "n_flagged")) == [(1, 1), (2, 0)]
+
+
 def test_metrics_document_reads_back_what_was_computed(spark, books, tmp_path):
     parts = document.sections(books)
     document.write_document(parts, f"{tmp_path}/doc")
@@ -312,6 +341,26 @@ def test_crm_extracts_lose_their_envelope(spark, tmp_path):
     assert rows(crm.crm_campaigns(spark, str(tmp_path / "k.json"))) == [("c", "Drive", dec("5.00"), date(2024, 5, 1), None)]
 
 
+def test_crm_lines_that_are_no_records_are_kept_aside(spark, tmp_path):
+    lines = {
+        '{"Id":"g1","ContactId":"1","Amount":10.5,"CloseDate":"2024-01-02","StageName":"Closed Won"}': None,
+        '{"Id":"g2","Amount":"ten","CloseDate":"2024-01-02","StageName":"Closed Won"}': crm.MISFIT,
+        '{"Id":"g3","Amount":1,"CloseDate":"yesterday","StageName":"Closed Won"}': crm.MISFIT,
+        '{"Id":"g4","Amount":1,"CloseDate":"2024-01-02","StageNa': crm.NOT_JSON, "total: 4 records": crm.NOT_JSON, '["g5", 1]': crm.NOT_JSON, "7": crm.NOT_JSON,
+        '{"Amount":1,"CloseDate":"2024-01-02","StageName":"Closed Won"}': crm.NO_ID, '{"Id":"","Amount":1,"StageName":"Closed Won"}': crm.NO_ID,
+        '{"Id":"g6","Amount":null,"StageName":"Prospecting"}': None, "   ": "blank",
+    }
+    (tmp_path / "o.json").write_text("\n".join(lines) + "\n\n")
+    kept = crm.rejected(spark, str(tmp_path / "o.json"), "opportunities")
+    assert kept.columns == ["kind", "file", "reason", "line"] and all(r["file"].endswith("/o.json") for r in kept.collect())
+    assert {r["line"]: r["reason"] for r in kept.collect()} == {line: reason for line, reason in lines.items() if reason not in (None, "blank")}
+    assert [r[0] for r in rows(crm.crm_opportunities(spark, str(tmp_path / "o.json")))] == ["g1"]
+    found = crm.records(spark, str(tmp_path / "o.json"), schemas.CRM_OPPORTUNITIES)
+    assert found.count() == len(lines) - 1 == kept.count() + found.where("reason IS NULL").count()
+    counted = crm.misfits(spark, {"opportunities": str(tmp_path / "o.json")})
+    assert rows(quality.fitting_expectations(counted)) == [("crm opportunities: every row fits its types", 8, False)]
+
+
 def test_command_line(spark, extracts, tmp_path):
     from almsbook.__main__ import run
 

@@ -456,6 +456,37 @@ def test_journal_exceptions(spark):
     assert journal.journal_exceptions(given, known, books.where("transaction_id = 't1'")).count() == 0
 
 
+def test_journal_lines_as_multisets(spark):
+    given = gifts(
+        spark, ("g1", "d", "A", "2024-06-29", "10.00"), ("g2", "d", "Z", "2024-06-01", "5.00"), ("g3", "d", "A", "2024-06-01", "7.00"),
+        ("g4", "d", None, "2024-06-01", "1.00"), ("hot", "d", "A", "2024-06-01", "2.00"),
+    )
+    known = funds(spark, "A").withColumn("restriction_type", F.lit("Unrestricted"))
+    right = ("t1", 1, "2024-06-30", "1000", "A", "10.00", None, "g1"), ("t1", 2, "2024-06-30", "4000", "A", None, "10.00", "g1")
+    books = ledger(
+        spark, *right,
+        ("t2", 1, "2024-06-01", "1000", "Z", "5.00", None, "g2"),  # its credit is missing
+        ("t3", 1, "2024-06-01", "1000", "A", "7.00", None, "g3"), ("t3", 2, "2024-06-01", "4000", "A", None, "7.00", "g3"),
+        ("t9", 1, "2024-06-01", "4000", "A", None, "7.00", "g3"), ("t3", 3, "2024-06-01", "5000", "A", "0.10", "0.10", "g3"),
+        ("t4", 1, "2024-06-01", "1000", None, None, None, "g4"), ("t5", 1, "2024-06-01", "9999", "A", "1.00", None, "unknown"),
+        ("t6", 1, "2024-06-01", "9999", "A", "1.00", None, None),
+        *[(f"h{i}", 1 + i % 2, "2024-06-01", "1000" if i % 2 else "4000", "A", "2.00" if i % 2 else None, None if i % 2 else "2.00", "hot") for i in range(400)],
+    )
+    got = journal.line_differences(given, known, books)
+    assert rows(got) == sorted([
+        ("g2", "credit", "4100", "Z", dec("5.00"), 1, 0, "missing", None),
+        ("g3", "credit", "4000", "A", dec("7.00"), 1, 2, "repeated", "t3"),
+        ("g3", "credit", "5000", "A", dec("0.10"), 0, 1, "surplus", "t3"), ("g3", "debit", "5000", "A", dec("0.10"), 0, 1, "surplus", "t3"),
+        ("g4", "credit", "4100", None, dec("1.00"), 1, 0, "missing", None), ("g4", "debit", "1000", None, dec("1.00"), 1, 0, "missing", None),
+        ("g4", "empty", "1000", None, dec("0.00"), 0, 1, "surplus", "t4"),
+        ("hot", "credit", "4000", "A", dec("2.00"), 1, 200, "repeated", "h0"), ("hot", "debit", "1000", "A", dec("2.00"), 1, 200, "repeated", "h1"),
+        ("unknown", "debit", "9999", "A", dec("1.00"), 0, 1, "surplus", "t5"),
+    ], key=lambda r: [(v is not None, str(type(v)), v) for v in r])
+    assert journal.line_differences(given.where("gift_id = 'g1'"), known, ledger(spark, *right)).count() == 0
+    # The gifts look up their fund; the two books are not joined.
+    assert plan_of(journal.line_differences(given, known, books)).count("Join") == 1
+
+
 # Manual adjustments: own records with quotes, commas, padding and line breaks.
 
 ADJUSTMENTS = """\
