@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from almsbook.functions.calendar import fiscal_year, with_fiscal_period
 from almsbook.functions.money import MONEY, money, percent, whole
-from almsbook.operators.ranking import bin_of_value, equal_bins_of_rank, global_rank, quantile_edges
+from almsbook.operators.ranking import bin_of_value, bins_by_position, quantile_edges
 from almsbook.sources.storage import materialize
 
 # Segment names in report order.
@@ -182,17 +182,18 @@ def fund_segment_matrix(gifts: DataFrame, funds: DataFrame, current_fy: int | Co
 def rfm_scores(summary: DataFrame, bins: int = 5) -> DataFrame:
     """Recency, frequency and monetary bins of each donor and their mean.
 
-    Recency is binned by value, the other two by position, where equal values rank by donor id.
+    Recency is binned by value, the other two by position, where equal values rank by donor id. Donors are
+    never sorted: the few at the cut points are searched, and every donor is held against them.
     """
-    ranked = global_rank(summary, ["frequency", "donor_id"], "freq_pos", "donors")
-    ranked = global_rank(ranked.drop("donors"), ["lifetime", "donor_id"], "money_pos", "donors")
+    summary = materialize(summary, "donors-to-score")
+    total = summary.count()
     # The edges get a column of their own: a higher-order function takes no subquery.
-    edged = ranked.withColumn("_edges", quantile_edges(ranked, "last_fy", bins))
+    edged = summary.withColumn("_edges", quantile_edges(summary, "last_fy", bins))
     binned = edged.select(
         "*",
         bin_of_value("last_fy", F.col("_edges")).alias("recency_rank"),
-        equal_bins_of_rank("freq_pos", "donors", bins).alias("freq_rank"),
-        equal_bins_of_rank("money_pos", "donors", bins).alias("monetary_rank"),
+        bins_by_position(summary, ["frequency", "donor_id"], bins, total).alias("freq_rank"),
+        bins_by_position(summary, ["lifetime", "donor_id"], bins, total).alias("monetary_rank"),
     )
     points = (F.col("recency_rank") + F.col("freq_rank") + F.col("monetary_rank")).cast("decimal(9,0)")
     return binned.select(

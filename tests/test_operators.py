@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from almsbook.operators import matching, merging, ranking, reconcile
 from almsbook.operators.checks import within_tolerance
-from helpers import dec, rows
+from helpers import dec, plan_of, rows
 
 
 @pytest.fixture(scope="module")
@@ -125,6 +125,42 @@ def test_bins_of_rank_match_quantile_cut(spark, n):
         assert [r["b"] for r in got] == pd.qcut(pd.Series(range(1, n + 1)), 5, labels=False).tolist()
 
 
+@pytest.mark.parametrize("kind, ids", [("spread", "number"), ("one heavy value", "text"), ("all equal", "text"), ("missing", "number")])
+def test_rows_at_ranks_and_bins_by_position(spark, kind, ids, monkeypatch):
+    """Brackets of few rows, so that ties are searched over several rounds; the same bins as by the global rank."""
+    monkeypatch.setattr(ranking, "FETCHED", 40)
+    pick = random.Random(7)
+    values = {
+        "spread": [Decimal(pick.randrange(10**6)) / 100 for _ in range(900)],
+        "one heavy value": [Decimal(3) if i % 3 else Decimal(pick.randrange(9)) for i in range(900)],
+        "all equal": [Decimal(1)] * 500,
+        "missing": [None if i % 4 else Decimal(i % 5) for i in range(300)],
+    }[kind]
+    data = [(i if ids == "number" else f"d{i:04d}", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, f"id {'int' if ids == 'number' else 'string'}, v decimal(18,2)")
+    in_order = sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    ranks = sorted({1, len(data) // 2, len(data) // 2 + 1, len(data)})
+    assert [(r["id"], r["v"]) for r in ranking.rows_at_ranks(df, ["v", "id"], ranks)] == [in_order[r - 1] for r in ranks]
+    binned = df.select("id", ranking.bins_by_position(df, ["v", "id"], 5).alias("b"))
+    by_rank = ranking.global_rank(df, ["v", "id"], "r", "n").select("id", ranking.equal_bins_of_rank("r", "n", 5).alias("b"))
+    assert sorted(map(tuple, binned.collect())) == sorted(map(tuple, by_rank.collect()))
+    assert "Sort" not in plan_of(binned) and "Exchange" not in plan_of(binned)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 11])
+def test_bins_by_position_of_few_rows(spark, n):
+    df = spark.createDataFrame([(i, i % 2) for i in range(n)], "id int, v int")
+    got = [r["b"] for r in df.select("v", "id", ranking.bins_by_position(df, ["v", "id"], 5).alias("b")).orderBy("v", "id").collect()]
+    assert got == ([0] * n if n < 2 else pd.qcut(pd.Series(range(1, n + 1)), 5, labels=False).tolist())
+
+
+def test_rows_at_ranks_that_are_not_there_or_not_apart(spark, monkeypatch):
+    with pytest.raises(ValueError, match="beyond"):
+        ranking.rows_at_ranks(spark.range(3).toDF("id"), ["id"], [4])
+    twice = spark.range(4).toDF("id").unionByName(spark.range(4).toDF("id"))
+    assert [r["id"] for r in ranking.rows_at_ranks(twice, ["id"], list(range(1, 9)))] == [0, 0, 1, 1, 2, 2, 3, 3]
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(1990, 1999), min_size=1, max_size=60))
 def test_bins_of_value_match_quantile_cut(spark, years):
