@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from almsbook import schemas
 from almsbook.plans import calendar, document, donors, jobs, journal, mart, overview, prep, quality, reconciliation
 from almsbook.plans import staging, statement
+from almsbook.plans.rolling import RollingReconciliation
 from almsbook.operators import merging
+from almsbook.operators.changesets import ChangeSets
 from almsbook.session import tuned
 from almsbook.sources import crm, files, landing
 from almsbook.sources.storage import materialize, scratch_path
@@ -53,6 +55,19 @@ def fund_reconciliation(t):
     return reconciliation.fund_reconciliation(_gifts(t), _ledger(t), t.accounts)
 
 
+@query
+def reconciliation_by_batches(t):
+    """The books in three batches, each judged from kept sums: the same as all at once."""
+    rolling = RollingReconciliation(t.spark, scratch_path(t.spark, "rolling"))
+    gifts, ledger = _gifts(t), _ledger(t)
+    for batch in range(3):
+        rolling.record(
+            f"batch-{batch}", gifts.where(F.pmod("gift_id", F.lit(3)) == batch),
+            ledger.where(F.pmod(F.dayofyear("transaction_date"), F.lit(3)) == batch), t.accounts,
+        )
+    return rolling.current()
+
+
 @query
 def gift_side(t):
     return reconciliation.gift_side(_gifts(t))
@@ -217,6 +232,18 @@ def upsert_dim_donor(t):
     return merging.upsert(t.existing_donors, _donors(t), "donor_id", ["donor_name"])
 
 
+@query
+def donor_change_sets(t):
+    """The same merge as two change sets, the first of them folded in."""
+    donors = _donors(t)
+    table = ChangeSets(t.spark, scratch_path(t.spark, "change-sets"), t.existing_donors.schema, "donor_id", ["donor_name"], buckets=8)
+    table.create(t.existing_donors)
+    table.merge(donors.where("donor_id % 3 = 0"))
+    table.compact()
+    table.merge(donors.where("donor_id % 3 <> 0"))
+    return table.read()
+
+
 @query
 def insert_if_absent(t):
     return merging.insert_if_absent(t.existing_donors, _donors(t), ["donor_id"])
