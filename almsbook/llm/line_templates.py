@@ -1,12 +1,12 @@
 """Line dedup with a log-template tree of fixed depth.
 
 The tree sorts a line first by its number of tokens, then by its leading ``depth`` tokens; tokens with a
-digit count as the variable ``<*>`` from the start. Within a leaf, a token that stands at its position in
-at least ``least_docs`` documents is constant, any other is a variable field. Lines with the same
-constants and variables share a template if the constants make up ``least_share`` of the tokens without a
-digit; a line with fewer is only like itself, and a line of variables alone only like lines of the same
-unmasked tokens. (``SQL`` counts variables as constants, so it drops more where lines have many.) Unlike a parser that meets lines one by one, this does not depend on their order, and each step is
-a grouped sum: a frequent line is one row per task before it is shuffled.
+digit count as the variable ``<*>`` from the start. Within a leaf, a token without a digit that stands at
+its position in at least ``least_docs`` documents is constant, any other is a variable field, be it a number or a
+rare word. Lines with the same constants and variables share a template if the constants make up ``least_share``
+of the tokens without a digit; a line with fewer is only like itself, and a line of variables alone only like lines
+of the same unmasked tokens. Unlike a parser that meets lines one by one, this does not depend on their order, and
+each step is a grouped sum: a frequent line is one row per task before it is shuffled.
 
 A template found in ``least_docs`` or more documents is dropped from all of them but the one with the
 smallest id, so that text which only comes in copies is not lost altogether.
@@ -115,13 +115,13 @@ def recurring_lines(docs: DataFrame, depth: int = 3, least_docs: int = 3, least_
     )
     tokens = cells(docs, lines.select("doc_id", "line"), depth).join(lines.select("leaf", "line", "docs"), ["leaf", "line"])
     tokens = materialize(tokens, "tokens")
-    constant = tokens.groupBy("leaf", "cell").agg(F.sum("docs").alias("m")).where(F.col("m") >= least_docs)
+    constant = tokens.where("literal").groupBy("leaf", "cell").agg(F.sum("docs").alias("m")).where(F.col("m") >= least_docs)
     wide = (F.col("n") > 0) & (F.col("constants") >= F.col("n") * F.lit(least_share))
     parsed = (
         tokens.join(materialize(constant, "constants"), ["leaf", "cell"], "left")
         .groupBy("leaf", "line", "n")
         .agg(
-            F.count(F.when(F.col("literal"), F.col("m"))).alias("constants"),
+            F.count("m").alias("constants"),
             F.bit_xor(F.when(F.col("m").isNotNull(), F.col("cell"))).alias("pattern"),
         )
         .select(
@@ -206,23 +206,25 @@ WITH numbered AS (
 ), tokenised AS (
   SELECT doc_id, line_no, line,
          [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
-          FOR t IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF t <> ''] AS tokens
+          FOR t IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF t <> ''] AS tokens,
+         [t FOR t IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF t <> ''] AS unmasked
   FROM numbered
 ), named AS (
-  SELECT *, md5(array_to_string(tokens, ' ')) AS k, len(tokens) AS n, tokens[1:3] AS lead FROM tokenised
+  SELECT *, md5(array_to_string(CASE WHEN len([t FOR t IN tokens IF t <> '<*>']) > 0 THEN tokens ELSE unmasked END, ' ')) AS k,
+         len(tokens) AS n, tokens[1:3] AS lead FROM tokenised
 ), lines AS (
   SELECT k, any_value(tokens) AS tokens, any_value(n) AS n, any_value(lead) AS lead, count(DISTINCT doc_id) AS docs
   FROM named WHERE n > 0 GROUP BY k
 ), cells AS (
   SELECT k, docs, n, lead, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token FROM lines
 ), weighed AS (
-  SELECT *, sum(docs) OVER (PARTITION BY n, lead, pos, token) >= 3 AS constant FROM cells
+  SELECT *, token <> '<*>' AND sum(docs) OVER (PARTITION BY n, lead, pos, token) >= 3 AS constant FROM cells
 ), patterns AS (
-  SELECT k, count(*) FILTER (constant) >= any_value(n) * 0.7 AS wide,
+  SELECT k, count(*) FILTER (token <> '<*>') > 0 AND count(*) FILTER (constant) >= count(*) FILTER (token <> '<*>') * 0.7 AS wide,
          list(CASE WHEN constant THEN token END ORDER BY pos) AS pattern
   FROM weighed GROUP BY k
 ), templates AS (
-  SELECT k, wide, lead || CASE WHEN wide THEN pattern ELSE tokens END AS template FROM patterns JOIN lines USING (k)
+  SELECT k, wide, CASE WHEN wide THEN lead || pattern ELSE [k] END AS template FROM patterns JOIN lines USING (k)
 ), found AS (
   SELECT wide, template, count(DISTINCT doc_id) AS docs, min(doc_id) AS origin
   FROM named JOIN templates USING (k) GROUP BY wide, template

@@ -18,6 +18,11 @@ ROWS = [
 ]
 
 
+# A place that numbers fill in some documents and rare words in others, and lines of numbers alone or nearly so.
+FIELDS = [f"alpha beta gamma {w} delta epsilon zeta eta theta iota" for w in ("101", "102", "103", "qux", "bar", "foo")]
+NUMBERS = ["12 45 78", "2003 7 9", "5 5 5", "5  5 5", "5 5 5\nkept", "<*> <*> <*>", *(f"1{i} 2 3 {i} 5 6 7 one{'xyz'[i]} two{'xyz'[i]} three{'xyz'[i]}" for i in range(3))]
+
+
 def kept(spark, rows, **options):
     out = lt.drop_lines(docs(spark, *rows), **options)
     assert out.columns == docs(spark).columns
@@ -38,7 +43,7 @@ def test_nothing_is_lost_or_added(spark):
 
 
 def test_digest_equals_sql_on_small_rows(spark):
-    rows = [r for r in ROWS if r[0] is not None and r != ROWS[6]]
+    rows = [r for r in ROWS if r[0] is not None and r != ROWS[6]] + [(20 + i, t) for i, t in enumerate(FIELDS + NUMBERS)]
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", [list(r[:2]) for r in rows])
@@ -61,6 +66,11 @@ def test_numbers_are_not_what_makes_lines_alike(spark):
     assert {i: t for _, i, _, t in kept(spark, rows)} == {i: gone.get(i, t) for i, t in rows}
 
 
+def test_a_field_of_numbers_and_of_rare_words_is_one_field(spark):
+    rows = list(enumerate(FIELDS, 1))
+    assert [t for *_, t in kept(spark, rows)] == [FIELDS[0]] + [""] * 5
+
+
 def test_empty_table(spark):
     assert kept(spark, []) == [] and lt.digest(docs(spark)).collect() == []
 
