@@ -131,8 +131,8 @@ def test_rows_at_ranks_and_bins_by_position(spark, kind, ids, monkeypatch):
     monkeypatch.setattr(ranking, "FETCHED", 40)
     pick = random.Random(7)
     values = {
-        "spread": [Decimal(pick.randrange(10**6)) / 100 for _ in range(900)],
-        "one heavy value": [Decimal(3) if i % 3 else Decimal(pick.randrange(9)) for i in range(900)],
+        "spread": [Decimal(pick.randrange(10**6)) / 100 for _ in range(300)],
+        "one heavy value": [Decimal(3) if i % 3 else Decimal(pick.randrange(9)) for i in range(300)],
         "all equal": [Decimal(1)] * 500,
         "missing": [None if i % 4 else Decimal(i % 5) for i in range(300)],
     }[kind]
