@@ -77,7 +77,7 @@ def test_empty_documents(spark, tmp_path):
 
 
 def test_registered():
-    assert {"pipeline"} | {f"op{n}" for n in range(1, 11)} <= {n.partition("_")[0] for n in entry.queries()}
+    assert {"pipeline"} | {f"op{n}" for n in range(1, 14)} <= {n.partition("_")[0] for n in entry.queries()}
     assert len(cp.STAGES) == 5
 
 
