@@ -10,8 +10,9 @@ Texts compare lower-cased with runs of white space as one blank. The items are a
 are streamed in blocks of at most ``block_chars`` characters, and each block is matched against all rows.
 
 Defined results: null or blank documents and items match nothing; repeated items are reported under each
-of their ids, repeated rows each for themselves; no items leave the documents as they are; an item
-shorter than two pieces has to occur exactly.
+of their ids, an item without id under a null one; repeated rows each for themselves, rows without an id under a
+null one; an empty documents table gives no rows; no items leave the documents as they are; an item shorter than
+two pieces has to occur exactly; other columns travel along with the documents that stay and are not looked at.
 """
 
 from collections.abc import Iterator
@@ -125,14 +126,14 @@ class Matcher:
                 if match := p.search(text, max(0, lo), min(len(text), hi)):
                     places[match] = None
             out.extend((item_id, *match) for match in places for item_id in self.ids[no])
-        return sorted(out)
+        return sorted(out, key=lambda hit: (hit[0] is None, hit))
 
 
 def blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """The items, normalised, in blocks that a broadcast may hold; they pass through the driver one by one."""
     block: list[tuple[int, str]] = []
     size = 0
-    for item_id, text in id_and_text(items, id_col, text_col).where("doc_id IS NOT NULL").toLocalIterator():
+    for item_id, text in id_and_text(items, id_col, text_col).toLocalIterator():
         if text := plain(text):
             if block and size + len(text) > block_chars:
                 yield block

@@ -65,6 +65,14 @@ def test_blocks_give_the_same(spark):
     assert dc.drop_contaminated(docs(spark, *rows, (99, "clean")), items_frame(spark, *ITEMS), block_chars=100).count() == 1
 
 
+def test_items_without_an_id_count(spark):
+    nameless = prose(8, 30)
+    rows = [(1, "a " + nameless), (2, "clean text"), (3, nameless + " " + ITEMS[2][1])]
+    found = sorted((r["doc_id"], str(r["item_id"])) for r in dc.find_items(docs(spark, *rows), items_frame(spark, *ITEMS)).collect())
+    assert found == [(1, "None"), (3, "3"), (3, "None")]
+    assert [r["doc_id"] for r in dc.drop_contaminated(docs(spark, *rows), items_frame(spark, *ITEMS)).collect()] == [2]
+
+
 def test_empty_tables(spark):
     assert dc.digest(docs(spark), items_frame(spark, *ITEMS)).collect() == []
     assert dc.digest(docs(spark, (1, "text")), items_frame(spark)).collect() == []
