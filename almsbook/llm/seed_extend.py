@@ -108,7 +108,7 @@ def extend(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
             if held:
                 yield to_batch(held, WINDOWS)
 
-    lists = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+    lists = wanted.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("found"))
     return with_text(docs, materialize(lists, "wanted-runs"), "inner").mapInArrow(
         run, "doc_id long, text_hash long, window long, first int"
     )
@@ -155,7 +155,7 @@ def maximal(first: np.ndarray, last: np.ndarray, n: int, least: int) -> tuple[np
 def remove_repeats(docs: DataFrame, least: int = 50, seed: int = 10) -> DataFrame:
     """One row per document: word counts, the kept words and their digest, and the maximal repeats (word ranges)."""
     found = repeated_windows(docs, least, seed)
-    lists = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+    lists = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

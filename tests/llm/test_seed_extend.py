@@ -29,6 +29,16 @@ def brute(rows, least):
     return sorted(out)
 
 
+def test_one_row_very_many_times(spark):
+    """Ranges are settled once per text, so the lists do not grow with its copies."""
+    text = prose(1, 120)
+    rows = [(1, text[:300])] + [(2, text)] * 300 + [(3, prose(3, 20) + " " + text)] * 2
+    seen = se.repeated_windows(docs(spark, *rows), 10, 4)
+    lists = seen.groupBy("doc_id", "text_hash").agg(se.F.size(se.F.collect_set(se.F.struct("first", "last"))).alias("n")).collect()
+    assert max(r["n"] for r in lists) <= 140
+    assert found(spark, rows, 10, 4) == brute(rows, 10)
+
+
 def found(spark, rows, least, seed):
     out = se.remove_repeats(docs(spark, *rows), least, seed).collect()
     for r in out:
