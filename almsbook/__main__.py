@@ -26,7 +26,7 @@ def _options() -> argparse.ArgumentParser:
     load.add_argument("--mart", required=True)
     load.add_argument("--loaded", help="mart version to build on")
 
-    extend = job.add_parser("extend", help="add new rows to the mart in place")
+    extend = job.add_parser("extend", help="add new rows to the mart as its next version")
     extend.add_argument("--raw", required=True)
     extend.add_argument("--mart", required=True)
 
