@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almsbook.llm.common import id_and_text, per_text
+from almsbook.llm.common import id_and_text, per_text, worker_state
 
 HITS = pa.schema([
     ("doc_id", pa.int64()), ("item_id", pa.int64()), ("errors", pa.int32()), ("first", pa.int64()), ("last", pa.int64())
@@ -147,8 +147,6 @@ def blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> It
 class Shared:
     """A block of items as a broadcast; each Python worker builds its automaton once."""
 
-    built: dict[int, Matcher] = {}
-
     def __init__(self, spark, block, max_error: float, least_piece: int) -> None:
         self.items = spark.sparkContext.broadcast(block)
         self.key, self.rules = self.items._jbroadcast.id(), (max_error, least_piece)
@@ -160,10 +158,7 @@ class Shared:
         self.items, self.key, self.rules = state
 
     def matcher(self) -> Matcher:
-        if self.key not in Shared.built:
-            Shared.built.clear()
-            Shared.built[self.key] = Matcher(self.items.value, *self.rules)
-        return Shared.built[self.key]
+        return worker_state(("decontaminate", self.key), lambda: Matcher(self.items.value, *self.rules))
 
 
 def find_items(
@@ -197,8 +192,10 @@ def drop_contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(batch.schema.get_field_index(text_col))
-                yield batch.filter(pa.array([not shared.matcher().find(texts[i].as_py()) for i in range(batch.num_rows)], pa.bool_()))
+                for at in range(0, batch.num_rows, 1000):
+                    part = batch.slice(at, 1000)
+                    texts = part.column(part.schema.get_field_index(text_col))
+                    yield part.filter(pa.array([not shared.matcher().find(texts[i].as_py()) for i in range(part.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

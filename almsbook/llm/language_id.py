@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almsbook.llm.common import id_and_text, to_batch
+from almsbook.llm.common import id_and_text, to_batch, worker_state
 
 UNKNOWN = "und"
 RUN = re.compile(r"[^\W\d_]+")
@@ -158,8 +158,6 @@ def fit(
 class Shared:
     """A model as a broadcast, with one scorer per Python worker."""
 
-    scorers: dict[int, Scorer] = {}
-
     def __init__(self, spark, model: Model) -> None:
         self.model = spark.sparkContext.broadcast(model)
         self.key = self.model._jbroadcast.id()
@@ -171,10 +169,7 @@ class Shared:
         self.model, self.key = state
 
     def scorer(self) -> Scorer:
-        if self.key not in Shared.scorers:
-            Shared.scorers.clear()
-            Shared.scorers[self.key] = Scorer(self.model.value)
-        return Shared.scorers[self.key]
+        return worker_state(("language_id", self.key), lambda: Scorer(self.model.value))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,9 +193,12 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5, tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.scorer()
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col))
-            found = [scorer.score(texts[i].as_py()) for i in range(batch.num_rows)]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+            # Whole rows leave in small batches, so that no second copy of a large one is held here or in the executor.
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                texts = part.column(part.schema.get_field_index(text_col))
+                found = [scorer.score(texts[i].as_py()) for i in range(part.num_rows)]
+                yield part.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -1,14 +1,15 @@
 import os
 import subprocess
 import sys
+import weakref
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
-from almsbook.llm import decontaminate, line_templates, simhash
-from frames import prose
+from almsbook.llm import decontaminate, language_id, line_templates, simhash, token_records
+from frames import docs, prose
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +95,27 @@ def test_the_rest_stands_without_the_package(tmp_path):
     )
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, env=os.environ | {"PYTHONPATH": root})
+
+
+def test_a_worker_keeps_the_state_of_one_stage_only(spark):
+    model = language_id.fit(docs(spark, (1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de")))
+    encoder = token_records.encoder(token_records.tokenizer_path())
+    assert token_records.encoder(token_records.tokenizer_path()) is encoder
+    gone = [weakref.ref(encoder)]
+    del encoder
+    shared = language_id.Shared(spark, model)
+    scorer = shared.scorer()
+    assert gone[0]() is None and shared.scorer() is scorer
+    gone.append(weakref.ref(scorer))
+    del scorer
+    assert decontaminate.Shared(spark, [(1, prose(1, 30))], 0.05, 16).matcher().find(prose(1, 30))
+    assert gone[1]() is None
+
+
+def test_rows_that_stay_leave_in_small_batches(spark):
+    """No second copy of a large batch, and no row lost where it is cut."""
+    rows = spark.range(2501).selectExpr("id AS doc_id", "concat('the cat and the dog ', id) AS text", "'en' AS lang")
+    kept = language_id.keep_identified(rows, language_id.fit(rows))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(2501))
+    items = spark.createDataFrame([(1, "the cat and the dog 2500")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(rows, items, max_error=0.0).collect()) == list(range(2500))
