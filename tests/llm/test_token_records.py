@@ -68,3 +68,11 @@ def test_remembered_words_change_nothing():
 
 def test_empty_table(spark):
     assert tr.digest(docs(spark).limit(0)).collect() == []
+
+
+def test_only_words_that_are_new_are_looked_at_again():
+    assert tr.gaps([b"a", None, b"", None, None]) == [1, 3, 4] and tr.gaps([b"a"]) == tr.gaps([]) == []
+    encoder = tr.WordEncoder(tr.tokenizer_path(), room=3)
+    texts = [prose(seed, 60) + ", the Été. x1" for seed in range(4)] + [None, "", "the the unseen the"]
+    for _ in range(2):
+        assert [[*ids.tolist(), 2] for ids in encoder.encode(texts)] == [plain_ids(t) for t in texts]
