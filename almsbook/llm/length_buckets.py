@@ -31,7 +31,7 @@ def token_lengths(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
         words = encoder(vocabulary)
         for batch in batches:
             texts = batch.column("text")
-            sizes = [len(ids) for part in in_parts(texts) for ids in words.encode([texts[i].as_py() for i in part])]
+            sizes = [len(ids) for part in in_parts(texts) for ids in words.encode(texts.slice(part.start, len(part)))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64())], schema=LENGTHS)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, length long")

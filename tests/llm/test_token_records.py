@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -76,3 +77,31 @@ def test_only_words_that_are_new_are_looked_at_again():
     texts = [prose(seed, 60) + ", the Été. x1" for seed in range(4)] + [None, "", "the the unseen the"]
     for _ in range(2):
         assert [[*ids.tolist(), 2] for ids in encoder.encode(texts)] == [plain_ids(t) for t in texts]
+
+
+def test_a_new_piece_is_merged_once_and_only_odd_words_meet_the_whole_tokenizer():
+    encoder, merged, whole = tr.WordEncoder(tr.tokenizer_path()), [], []
+    piece, plain = encoder._piece, encoder._whole
+    encoder._piece = lambda p: merged.append(p) or piece(p)
+    encoder._whole = lambda words: whole.extend(words) or plain(words)
+    texts = ["Zorblat zorblat, ZORBLAT*** zorblat.### l'Été étÉ", None, "été! zorblat's ΣΟΣ σος Zorblat", "", "çà<|endoftext|>"]
+    for _ in range(2):
+        assert [[*ids.tolist(), 2] for ids in encoder.encode(texts)] == [plain_ids(t) for t in texts]
+    assert sorted(merged) == sorted(set(merged)) and b"zorblat" in merged and "été".encode() in merged
+    assert sorted(whole) == sorted({"ΣΟΣ".encode().lower().decode(), "σος", "çà<|endoftext|>"})
+
+
+def test_every_latin_character_is_cut_as_the_tokenizer_cuts():
+    texts = [f"a{c}b {c} x{c}{c}1 É{c}.,'s{c}ll it's{c}'S {c}'re" for c in map(chr, range(1, 0x300))]
+    encoder = tr.WordEncoder(tr.tokenizer_path())
+    assert [[*ids.tolist(), 2] for ids in encoder.encode(pa.array(["cut off", *texts]).slice(1))] == [plain_ids(t) for t in texts]
+    assert list(encoder.encode(pa.array([], pa.string()))) == []
+
+
+def test_a_tokenizer_with_other_rules_is_asked_for_whole_words(tmp_path):
+    tokenizer = Tokenizer.from_file(tr.tokenizer_path())
+    spec = tokenizer.to_str().replace('{"type":"NFC"}', '{"type":"NFKC"}')
+    (tmp_path / "other.json").write_text(spec)
+    encoder, text = tr.WordEncoder(str(tmp_path / "other.json")), "x² ½ ªb plain, words"
+    want = Tokenizer.from_str(spec).encode(text, add_special_tokens=False).ids
+    assert not encoder.cuts and next(encoder.encode([text])).tolist() == want
